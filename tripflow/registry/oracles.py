@@ -899,17 +899,17 @@ _oracle(
 )
 _oracle(
     "volume_anomalies", "stg",
-    """, hours as (
+    """, city_hours as (
          select city_id, date_trunc('hour', event_time) as event_hour, count(*) as events,
            round(avg(case when rider_id is null then 1.0::double else 0.0::double end), 6) as null_rider_share,
            count(*) filter (where fraud_score >= 0.8::double) as high_risk_cases
          from stg group by 1, 2),
-       trailing as (
+       compared as (
          select *, round(avg(events) over (partition by city_id order by event_hour
            range between interval 24 hours preceding and interval 1 seconds preceding), 6) as trailing_mean
-         from hours)
+         from city_hours)
        select *, coalesce(events < trailing_mean * 0.5::double or events > trailing_mean * 2.0::double, false) as is_anomaly
-       from trailing""",
+       from compared""",
 )
 _oracle(
     "surge_out_of_bounds", "stg",
@@ -1003,7 +1003,7 @@ _relation("document_cells", "", _cells("documents", "doc_id", "text"))
 _relation("corpus_cells", "corpus", _cells("corpus", "id", "text"))
 _relation("question_cells", "", _cells("benchmark", "item_id", "text"))
 _relation(
-    "similar", "corpus corpus_cells question_cells",
+    "pairs", "corpus corpus_cells question_cells",
     """select q.item_id as question_id, c.id,
          round(1 - coalesce(d.dot / (sqrt(q.n) * sqrt(c.n)), 0), 6) + 0.0 as distance
        from (select b.item_id, coalesce(sum(weight * weight), 0)::double as n
@@ -1015,10 +1015,10 @@ _relation(
          on d.item_id = q.item_id and d.id = c.id""",
 )
 _relation(
-    "hits", "similar",
+    "hits", "pairs",
     """select question_id, id, distance,
          row_number() over (partition by question_id order by distance, id) as rank
-       from similar qualify rank <= 5""",
+       from pairs qualify rank <= 5""",
 )
 _oracle("corpus_documents", "corpus", "select * exclude (text) from corpus")
 _oracle(
@@ -1049,10 +1049,10 @@ _oracle(
        join (select id, doc_id from corpus) using (id)""",
 )
 _oracle(
-    "nearest_documents_in_scope", "similar",
+    "nearest_documents_in_scope", "pairs",
     """select question_id, cast(row_number() over (partition by question_id order by distance, id) as integer) as rank,
          id, city_id, distance
-       from similar join (select id, city_id from corpus where city_id = 'en') using (id)
+       from pairs join (select id, city_id from corpus where city_id = 'en') using (id)
        qualify rank <= 3""",
 )
 _oracle(

@@ -15,11 +15,10 @@ from tripflow.operators import (
 from tripflow.plans import (
     checks, dimensions, facts, features, gold, models, monitoring, opendata, serving, silver, store,
 )
-from tripflow.registry.streams import stream_layers
 from tripflow.session import configure
 from tripflow.sinks import report
 from tripflow.sources import tables
-from tripflow.sources.warehouse import raw_events, staged_events
+from tripflow.sources.warehouse import all_messages, raw_events, staged_events, stream_layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,10 +39,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables.table(configure(spark), sf_dir, name)
 
 
-def _messages(spark, sf_dir):
-    return tables.event_messages(_table(spark, sf_dir, "events"))
-
-
 def _mart(spark, sf_dir):
     return gold.city_daily_kpis(staged_events(spark, sf_dir))
 
@@ -57,13 +52,13 @@ def _fact(spark, sf_dir, name):
 
 @query
 def bronze_messages(spark, sf_dir):
-    bronze = silver.to_bronze(_messages(spark, sf_dir))
+    bronze = silver.to_bronze(all_messages(spark, sf_dir))
     return bronze.select("topic", "partition", "offset", "kafka_timestamp", "key", "bronze_entity")
 
 
 @query
 def silver_canonical(spark, sf_dir):
-    canonical = silver.to_canonical(silver.to_bronze(_messages(spark, sf_dir)))
+    canonical = silver.to_canonical(silver.to_bronze(all_messages(spark, sf_dir)))
     return canonical.drop("ingestion_time", "raw_payload")
 
 
@@ -75,7 +70,7 @@ def silver_quarantine(spark, sf_dir):
 
 @query
 def loader_first_arrivals(spark, sf_dir):
-    parsed = silver.with_payload(_messages(spark, sf_dir)).withColumn(
+    parsed = silver.with_payload(all_messages(spark, sf_dir)).withColumn(
         "event_id", F.col("payload").getItem("event_id")
     )
     first = dedup.first_arrivals(parsed)
@@ -84,7 +79,7 @@ def loader_first_arrivals(spark, sf_dir):
 
 @query
 def loader_trip_payloads(spark, sf_dir):
-    return silver.completed_trip_payloads(_messages(spark, sf_dir)).groupBy("topic").agg(
+    return silver.completed_trip_payloads(all_messages(spark, sf_dir)).groupBy("topic").agg(
         F.count(F.lit(1)).alias("payloads")
     )
 

@@ -15,16 +15,10 @@ def _struct(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, kinds[kind], True) for name, kind in fields])
 
 
-# What a topic delivers, before the bronze projection.
-ENVELOPE = _struct(
-    """key binary, value binary, topic string, partition int, offset bigint,
-       timestamp timestamp, timestampType int"""
-)
-
-# The same message as text lines, for file-based topics.
+# What a topic delivers, for topics kept as files; the folder names the topic.
 FILE_ENVELOPE = _struct(
-    """key string, value string, topic string, partition int, offset bigint,
-       timestamp timestamp, timestampType int"""
+    """key string, value string, partition int, offset bigint, timestamp timestamp,
+       timestampType int"""
 )
 
 BRONZE = _struct(

@@ -114,6 +114,11 @@ def canonical_events(events: DataFrame) -> DataFrame:
     return frame.select(*declared, n.alias("source_offset"))
 
 
+# Topics the events are spread over.
+EVENT_TOPICS = [
+    "rh.trip.lifecycle.events.v1", "rh.fraud.signals.v1", "rh.support.tickets.v1",
+]
+
 # Payload key of each canonical column whose message uses another name.
 _PAYLOAD_NAMES = {"payment_amount": "amount"}
 
@@ -129,9 +134,10 @@ def event_messages(events: DataFrame) -> DataFrame:
         if f.name not in ("event_time", "event_date")
     ]
     stamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time")
-    topic = F.when(F.col("event_type") == "fraud_signal", "rh.fraud.signals.v1").when(
-        F.col("event_type") == "support_ticket_created", "rh.support.tickets.v1"
-    ).otherwise("rh.trip.lifecycle.events.v1")
+    trips, fraud, support = EVENT_TOPICS
+    topic = F.when(F.col("event_type") == "fraud_signal", fraud).when(
+        F.col("event_type") == "support_ticket_created", support
+    ).otherwise(trips)
     deliveries = F.when(
         F.col("source_offset") % 50 == 49, F.array(F.lit(0), F.lit(1))
     ).otherwise(F.array(F.lit(0)))

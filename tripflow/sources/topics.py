@@ -22,6 +22,15 @@ def _kafka_options(topic: str, kafka: dict) -> dict[str, str]:
     }
 
 
+def _topic_folder(files: str, topic: str) -> str:
+    return f"{files.rstrip('/')}/topic={topic}"
+
+
+def land_messages(messages: DataFrame, files: str) -> None:
+    """Messages as files, a folder per topic, for places without a broker."""
+    messages.write.mode("overwrite").partitionBy("topic").parquet(files)
+
+
 def stream_topic(
     spark: SparkSession,
     topic: str,
@@ -29,14 +38,14 @@ def stream_topic(
     files: str | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
-    """Messages of one topic, from Kafka or from JSON files holding the same envelope."""
+    """Messages of one topic, from Kafka or from files holding the same envelope."""
     if files is None:
         reader = spark.readStream.format("kafka")
         return reader.options(**_kafka_options(topic, kafka or DEFAULT_KAFKA)).load()
     reader = spark.readStream.schema(schemas.FILE_ENVELOPE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(files).filter(F.col("topic") == topic)
+    return reader.parquet(_topic_folder(files, topic)).withColumn("topic", F.lit(topic))
 
 
 def read_topic(
@@ -52,9 +61,8 @@ def read_topic(
         options.update({"startingOffsets": "earliest", "endingOffsets": "latest"})
         batch = spark.read.format("kafka").options(**options).load()
     else:
-        batch = spark.read.schema(schemas.FILE_ENVELOPE).json(files).filter(
-            F.col("topic") == topic
-        )
+        batch = spark.read.schema(schemas.FILE_ENVELOPE).parquet(_topic_folder(files, topic))
+        batch = batch.withColumn("topic", F.lit(topic))
     if max_records is not None:
         batch = batch.orderBy("timestamp", "partition", "offset").limit(max_records)
     return batch

@@ -1,4 +1,4 @@
-"""Silver events of the test tables, written once per application and read by every model."""
+"""Tables derived from the test events, written once per application and read by many queries."""
 
 from __future__ import annotations
 
@@ -7,7 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tripflow import schemas
 from tripflow.operators.conform import to_staging
 from tripflow.session import configure, fresh_dir
-from tripflow.sources.tables import canonical_events, table
+from tripflow.settings import TOPICS
+from tripflow.sources.tables import EVENT_TOPICS, canonical_events, event_messages, table
+from tripflow.sources.topics import land_messages, read_topic
+from tripflow.streaming import bronze, gold, silver
+from tripflow.streaming.run import await_all
 
 PARTITIONS = ["event_date", "city_id"]
 _written: dict[tuple, str] = {}
@@ -44,14 +48,65 @@ def lazy_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_staging(raw_events(spark, sf_dir), ["ingestion_time", "source_offset"])
 
 
-def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging table in the shared folder. Deduplicating moves every event, so it is
-    done once, and the many models after it read day and city partitions instead."""
+def _once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of a derived table, built on first use and again if the events change."""
     configure(spark)
     source = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (spark.sparkContext.applicationId, source, *_fingerprint(spark, source))
+    key = (spark.sparkContext.applicationId, name, source, *_fingerprint(spark, source))
     if key not in _written:
-        path = fresh_dir(spark, "silver")
-        write_silver(lazy_staging(spark, sf_dir), path)
+        path = fresh_dir(spark, name)
+        build(path)
         _written[key] = path
-    return read_silver(spark, _written[key])
+    return _written[key]
+
+
+def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging table in the shared folder. Deduplicating moves every event, so it is
+    done once, and the many models after it read day and city partitions instead."""
+    path = _once(
+        spark, sf_dir, "silver", lambda out: write_silver(lazy_staging(spark, sf_dir), out)
+    )
+    return read_silver(spark, path)
+
+
+def landed_topics(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the events as topic messages."""
+    events = table(configure(spark), sf_dir, "events")
+    return _once(
+        spark, sf_dir, "topics", lambda out: land_messages(event_messages(events), out)
+    )
+
+
+def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = landed_topics(spark, sf_dir)
+    result = None
+    for topic in EVENT_TOPICS:
+        one = read_topic(spark, topic, files=files)
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
+def stream_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three streaming jobs, each run until it has worked off what has arrived."""
+    files = landed_topics(spark, sf_dir)
+    root = _once(spark, sf_dir, "stream", lambda out: _run_streams(spark, files, out))
+    return {
+        "bronze": spark.read.schema(schemas.BRONZE)
+        .option("recursiveFileLookup", "true")
+        .parquet(f"{root}/bronze"),
+        "silver": spark.read.schema(schemas.SILVER).parquet(f"{root}/silver/canonical_events"),
+        "quarantine": spark.read.schema(schemas.SILVER).parquet(f"{root}/silver/quarantine_events"),
+        "gold": spark.read.schema(schemas.GOLD_HOURLY).parquet(f"{root}/gold/city_hourly_metrics"),
+    }
+
+
+def _run_streams(spark: SparkSession, files: str, root: str) -> None:
+    topics = [t for t in TOPICS if t["name"] in EVENT_TOPICS]
+    marks = f"{root}/checkpoints"
+    await_all(
+        bronze.start_all(
+            spark, f"{root}/bronze", f"{marks}/bronze", bounded=True, topics=topics, files=files
+        )
+    )
+    await_all(silver.start(spark, f"{root}/bronze", f"{root}/silver", f"{marks}/silver", bounded=True))
+    await_all([gold.start(spark, f"{root}/silver", f"{root}/gold", f"{marks}/gold", bounded=True)])

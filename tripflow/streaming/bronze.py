@@ -41,17 +41,3 @@ def start_all(
         )
         for topic in topics
     ]
-
-
-def start_combined(
-    messages: DataFrame, bronze_root: str, checkpoint: str, bounded: bool = False
-) -> StreamingQuery:
-    """All topics through one query, with the entity as outer partition."""
-    return append_parquet(
-        to_bronze(messages),
-        name="bronze_all",
-        path=bronze_root,
-        checkpoint=checkpoint,
-        partition_by=["bronze_entity", "ingest_date"],
-        bounded=bounded,
-    )
