@@ -23,13 +23,12 @@ def current_runs(log: DataFrame) -> DataFrame:
     rank = F.struct(F.col("at"), (~is_start).alias("after_start"))
     finished = F.max(F.when(~is_start, F.col("at")))
     started = F.max(F.when(is_start, F.col("at")))
+    latest = F.max_by(F.struct("pipeline_name", "stage_name", "status"), rank)
     state = log.groupBy("run_id").agg(
-        F.max_by("pipeline_name", rank).alias("pipeline_name"),
-        F.max_by("stage_name", rank).alias("stage_name"),
-        F.max_by("status", rank).alias("status"),
+        latest.alias("latest"),
         started.alias("started_at"),
         F.when(started.isNull() | (finished >= started), finished).alias("ended_at"),
-    )
+    ).select("run_id", "latest.*", "started_at", "ended_at")
     details = _merged_details(log, rank, state.select("run_id", "started_at"))
     return state.join(details, "run_id", "left").select(
         "run_id", "pipeline_name", "stage_name", "status", "started_at", "ended_at",

@@ -8,18 +8,23 @@ from tripflow.settings import EMBEDDING_DIM
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case words between any white space."""
-    words = F.split(F.lower(text), r"(?U)[\s\x1c-\x1f]+")
-    return F.filter(words, lambda w: w != "")
+    """Lower-case words between any white space; an empty one may stand at either end."""
+    return F.split(F.lower(text), r"(?U)[\s\x1c-\x1f]+")
 
 
-def _low_bits(token: Column, dim: int) -> tuple[Column, Column]:
-    """Index and sign: the SHA-256 of the token modulo the dimension, and its second bit."""
-    if dim & (dim - 1) or dim > 1 << 31:
-        raise ValueError("dim must be a power of two, at most 2**31")
-    tail = F.conv(F.substring(F.sha2(token.cast("binary"), 256), -8, 8), 16, 10).cast("bigint")
-    sign = F.when(tail.bitwiseAND(2) != 0, -1).otherwise(1)
-    return (tail % dim).cast("int"), sign.cast("bigint")
+def _hex_value(digest: Column, place: int) -> Column:
+    """Value of one hex digit, counted from the end."""
+    return F.instr(F.lit("0123456789abcdef"), F.substring(digest, -place, 1)) - 1
+
+
+def _low_bits(digest: Column, dim: int) -> tuple[Column, Column]:
+    """Index and sign: the token's hash modulo the dimension, and the hash's second bit."""
+    if dim & (dim - 1) or not 2 <= dim <= 1 << 20:
+        raise ValueError("dim must be a power of two, between 2 and 2**20")
+    digits = max(1, (dim.bit_length() + 2) // 4)
+    tail = sum((_hex_value(digest, i + 1) * 16**i for i in range(digits)), F.lit(0))
+    sign = F.when(_hex_value(digest, 1).bitwiseAND(2) != 0, -1).otherwise(1)
+    return tail % dim, sign.cast("bigint")
 
 
 def hashed_cells(documents: DataFrame, key: str, text: str, dim: int = EMBEDDING_DIM) -> DataFrame:
@@ -29,9 +34,12 @@ def hashed_cells(documents: DataFrame, key: str, text: str, dim: int = EMBEDDING
     document sends at most ``dim`` small rows however long its text is.
     """
     exploded = documents.select(key, F.explode(tokens(F.col(text))).alias("_token"))
-    idx, sign = _low_bits(F.col("_token"), dim)
+    hashed = exploded.filter(F.col("_token") != "").select(
+        key, F.sha2(F.col("_token").cast("binary"), 256).alias("_digest")
+    )
+    idx, sign = _low_bits(F.col("_digest"), dim)
     return (
-        exploded.select(key, idx.alias("idx"), sign.alias("_sign"))
+        hashed.select(key, idx.alias("idx"), sign.alias("_sign"))
         .groupBy(key, "idx")
         .agg(F.sum("_sign").alias("weight"))
         .filter(F.col("weight") != 0)

@@ -47,3 +47,13 @@ def salted_left_join(
         .drop("_hot")
     )
     return salted.join(copies, ["_k", "_salt"], "left").drop("_k", "_salt")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores, dealt out over all cores.
+
+    Meant for costly work per row on few files. A large table has more splits
+    than cores and passes through without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

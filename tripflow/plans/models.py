@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -65,18 +66,13 @@ def _estimator(name: str, spec: ModelSpec, trees: int, depth: int) -> Pipeline:
         stages=[
             VectorAssembler(inputCols=MODEL_FEATURES[name], outputCol="features"),
             forest(
-                featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=SEED
+                featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=SEED,
+                maxMemoryInMB=1024,
             ),
         ]
     )
 
 
-def _prepared(frame: DataFrame, name: str, spec: ModelSpec) -> DataFrame:
-    return frame.select(
-        *feature_inputs(frame, name), F.col(spec.target).cast("double").alias("label")
-    )
-
-
 def trainable(frame: DataFrame, name: str) -> str | None:
     """Why a model cannot be trained on these rows, or None. Skipping counts as success."""
     spec = MODELS[name]
@@ -97,13 +93,21 @@ def train(
     note = trainable(labelled, name)
     if note:
         return None, {"model_name": name, "status": "success", "note": note}
-    train_rows, test_rows = split(labelled, spec.key)
-    model = _estimator(name, spec, trees, depth).fit(_prepared(train_rows, name, spec))
-    scored = model.transform(_prepared(test_rows, name, spec))
-    if spec.classifier:
-        value = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
-    else:
-        value = RegressionEvaluator(metricName="mae").evaluate(scored)
+    rows = labelled.select(
+        *feature_inputs(labelled, name),
+        F.col(spec.target).cast("double").alias("label"),
+        in_test_share(*spec.key).alias("_test"),
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # The features feed several passes; a lost block is computed again from the tables.
+        model = _estimator(name, spec, trees, depth).fit(rows.filter(~F.col("_test")))
+        scored = model.transform(rows.filter("_test"))
+        if spec.classifier:
+            value = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
+        else:
+            value = RegressionEvaluator(metricName="mae").evaluate(scored)
+    finally:
+        rows.unpersist()
     return model, {
         "model_name": name, "status": "success", "metric_name": spec.metric, "metric_value": value,
     }

@@ -12,6 +12,7 @@ from tripflow.functions import calendar
 from tripflow.operators import (
     audit, contracts, dedup, embeddings, quality, retrieval, upsert, validity,
 )
+from tripflow.operators.skew import spread
 from tripflow.plans import (
     checks, dimensions, facts, features, gold, models, monitoring, opendata, serving, silver, store,
 )
@@ -39,6 +40,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables.table(configure(spark), sf_dir, name)
 
 
+def _wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows cost much CPU, over all cores even if it has few splits."""
+    return spread(_table(spark, sf_dir, name))
+
+
 def _mart(spark, sf_dir):
     return gold.city_daily_kpis(staged_events(spark, sf_dir))
 
@@ -71,7 +77,7 @@ def silver_quarantine(spark, sf_dir):
 @query
 def loader_first_arrivals(spark, sf_dir):
     parsed = silver.with_payload(all_messages(spark, sf_dir)).withColumn(
-        "event_id", F.col("payload").getItem("event_id")
+        "event_id", F.col("payload.event_id")
     )
     first = dedup.first_arrivals(parsed)
     return first.select("event_id", "topic", "offset")
@@ -374,7 +380,7 @@ def contract_violations_events(spark, sf_dir):
 @query
 def contract_violations_open_trips(spark, sf_dir):
     trips = opendata.normalize(
-        tables.template_trips(_table(spark, sf_dir, "orders")),
+        tables.template_trips(_wide(spark, sf_dir, "orders")),
         opendata.city_mapping("dubai", "dubai_open"),
         NOW,
     )
@@ -446,7 +452,7 @@ def serve_recent_quality(spark, sf_dir):
 
 
 def _runs(spark, sf_dir):
-    return audit.current_runs(tables.run_log(_table(spark, sf_dir, "orders")))
+    return audit.current_runs(tables.run_log(_wide(spark, sf_dir, "orders")))
 
 
 @query
@@ -493,21 +499,21 @@ def serve_recent_runs(spark, sf_dir):
 @query
 def open_trips_nyc(spark, sf_dir):
     return opendata.normalize(
-        tables.nyc_trips(_table(spark, sf_dir, "lineitem")), opendata.NYC, NOW
+        tables.nyc_trips(_wide(spark, sf_dir, "lineitem")), opendata.NYC, NOW
     )
 
 
 @query
 def open_trips_chicago(spark, sf_dir):
     return opendata.normalize(
-        tables.chicago_trips(_table(spark, sf_dir, "orders")), opendata.CHICAGO, NOW
+        tables.chicago_trips(_wide(spark, sf_dir, "orders")), opendata.CHICAGO, NOW
     )
 
 
 @query
 def open_trips_new_city(spark, sf_dir):
     return opendata.normalize(
-        tables.template_trips(_table(spark, sf_dir, "orders")),
+        tables.template_trips(_wide(spark, sf_dir, "orders")),
         opendata.city_mapping("dubai", "dubai_open"),
         NOW,
     )
@@ -515,15 +521,15 @@ def open_trips_new_city(spark, sf_dir):
 
 @query
 def open_trips_one_day(spark, sf_dir):
-    source = tables.nyc_trips(_table(spark, sf_dir, "lineitem"))
+    source = tables.nyc_trips(_wide(spark, sf_dir, "lineitem"))
     day = calendar.parse_day("1998-05-05")
     return opendata.normalize(opendata.only_day(source, opendata.NYC, day), opendata.NYC, NOW)
 
 
 def _enabled_sources(spark, sf_dir):
     sources = {
-        "NYC": tables.nyc_trips(_table(spark, sf_dir, "lineitem")),
-        "CHICAGO": tables.chicago_trips(_table(spark, sf_dir, "orders")),
+        "NYC": tables.nyc_trips(_wide(spark, sf_dir, "lineitem")),
+        "CHICAGO": tables.chicago_trips(_wide(spark, sf_dir, "orders")),
     }
     return {city: sources[city] for city in opendata.enabled_cities()}
 
@@ -541,7 +547,7 @@ def open_trips_all_cities(spark, sf_dir):
 
 @query
 def open_trips_append_keep_last(spark, sf_dir):
-    source = tables.nyc_trips(_table(spark, sf_dir, "lineitem"))
+    source = tables.nyc_trips(_wide(spark, sf_dir, "lineitem"))
     held = opendata.normalize(source, opendata.NYC, datetime(2024, 1, 1))
     day = calendar.parse_day("1998-05-05")
     again = opendata.normalize(opendata.only_day(source, opendata.NYC, day), opendata.NYC, NOW)
@@ -560,7 +566,7 @@ def rules_alignment(spark, sf_dir):
 
 @query
 def rules_source_quality(spark, sf_dir):
-    source = tables.nyc_trips(_table(spark, sf_dir, "lineitem"))
+    source = tables.nyc_trips(_wide(spark, sf_dir, "lineitem"))
     columns = {
         "start": "tpep_pickup_datetime", "end": "tpep_dropoff_datetime",
         "fare": "total_amount", "distance": "trip_distance",
@@ -733,7 +739,7 @@ for _name in models.MODELS:
 
 
 def _corpus(spark, sf_dir):
-    return tables.corpus_documents(_table(spark, sf_dir, "documents"))
+    return tables.corpus_documents(_wide(spark, sf_dir, "documents"))
 
 
 @query
@@ -743,7 +749,7 @@ def corpus_documents(spark, sf_dir):
 
 @query
 def embedding_cells(spark, sf_dir):
-    cells = embeddings.hashed_cells(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    cells = embeddings.hashed_cells(_wide(spark, sf_dir, "documents"), "doc_id", "text")
     norms = cells.groupBy("doc_id").agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight")).cast("double")).alias("norm")
     )
@@ -757,7 +763,7 @@ def embedding_vectors(spark, sf_dir):
     supplied = _table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector")
     )
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = _wide(spark, sf_dir, "documents").select("doc_id", "text")
     vectors = embeddings.document_vectors(documents, "doc_id", "text", supplied)
     return vectors.select(
         "doc_id",
@@ -835,7 +841,7 @@ def answer_records(spark, sf_dir):
 
 
 def _requests(spark, sf_dir):
-    return tables.request_log(_table(spark, sf_dir, "events"))
+    return tables.request_log(_wide(spark, sf_dir, "events"))
 
 
 @query
