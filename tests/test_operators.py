@@ -176,18 +176,19 @@ def test_running_before_equals_a_plain_scan(spark, seed):
         assert got[event] == sum(r[1] for r in rows if r[0] == key and r[2] < at)
 
 
-def test_salted_join_equals_plain_join(spark):
-    left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
-        F.col("id").cast("string").alias("row"),
-    )
-    right = spark.range(60).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("w")).union(
-        spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3)], "k string, w bigint")
-    )
-    salted = skew.salted_left_join(left, right.withColumnRenamed("k", "k"), "k", "row", salts=8, threshold=500)
+@pytest.mark.parametrize("left_hot, right_hot", [(1000, 2), (2, 1000), (150, 150), (1000, 0), (0, 1000), (1, 1)])
+def test_grid_join_equals_plain_join(spark, left_hot, right_hot):
+    def side(hot, column):
+        # Hot key, a key on either side, keys on one side, NULLs.
+        rows = [("hot", i) for i in range(hot)] + [(f"k{i % 40}", 10_000 + i) for i in range(120)]
+        rows += [(f"{column}{i}", 20_000 + i) for i in range(30)] + [(None, 30_000 + i) for i in range(50)]
+        return spark.createDataFrame(rows, f"k string, {column} bigint")
+
+    left, right = side(left_hot, "v"), side(right_hot, "w")
+    joined = skew.grid_left_join(left, right, "k", ["v"], ["w"], salts=4, share=0.2)
     plain = left.join(right, "k", "left")
-    pick = lambda f: sorted(map(str, f.select("row", "w").collect()))
-    assert pick(salted) == pick(plain)
+    pick = lambda f: sorted(map(str, f.select("k", "v", "w").collect()))
+    assert pick(joined) == pick(plain)
 
 
 # Rules ---------------------------------------------------------------------------
@@ -381,7 +382,7 @@ def test_nearest_equals_brute_force(spark, block_bytes):
     asked = [(i, rng.integers(-3, 4, 16).astype(float).tolist()) for i in range(30)]
     documents = spark.createDataFrame(docs, "doc string, vector array<double>").repartition(5)
     questions = spark.createDataFrame(asked, "q int, vector array<double>")
-    hits = retrieval.nearest(documents, questions, "doc", "q", 4, block_bytes).collect()
+    hits = retrieval.nearest(documents, questions, "doc", "q", 4, 16, block_bytes).collect()
     got = defaultdict(dict)
     for r in hits:
         got[r["q"]][r["rank"]] = r["doc"]
@@ -392,9 +393,9 @@ def test_nearest_equals_brute_force(spark, block_bytes):
 def test_nearest_of_few_and_of_none(spark):
     documents = spark.createDataFrame([("a", [1.0, 0.0])], "doc string, vector array<double>")
     questions = spark.createDataFrame([(1, [1.0, 1.0])], "q int, vector array<double>")
-    assert [tuple(r) for r in retrieval.nearest(documents, questions, "doc", "q", 3).collect()] == [(1, "a", 0.292893, 1)]
-    assert retrieval.nearest(documents, questions.limit(0), "doc", "q", 3).count() == 0
-    assert retrieval.nearest(documents.limit(0), questions, "doc", "q", 3).count() == 0
+    assert [tuple(r) for r in retrieval.nearest(documents, questions, "doc", "q", 3, 2).collect()] == [(1, "a", 0.292893, 1)]
+    assert retrieval.nearest(documents, questions.limit(0), "doc", "q", 3, 2).count() == 0
+    assert retrieval.nearest(documents.limit(0), questions, "doc", "q", 3, 2).count() == 0
     with pytest.raises(ValueError):
         retrieval.nearest(documents, questions, "doc", "q", 21)
 

@@ -27,43 +27,46 @@ def _low_bits(digest: Column, dim: int) -> tuple[Column, Column]:
     return tail % dim, sign.cast("bigint")
 
 
-def hashed_cells(documents: DataFrame, key: str, text: str, dim: int = EMBEDDING_DIM) -> DataFrame:
-    """Non-zero cells of each document's vector before scaling: key, idx, weight.
+def _summed_cells(documents: DataFrame, key: str, text: str, dim: int) -> DataFrame:
+    """Cells per document, with at least one for every document.
 
     Tokens are summed per cell in the task that reads the document, so a
     document sends at most ``dim`` small rows however long its text is.
     """
-    exploded = documents.select(key, F.explode(tokens(F.col(text))).alias("_token"))
-    hashed = exploded.filter(F.col("_token") != "").select(
-        key, F.sha2(F.col("_token").cast("binary"), 256).alias("_digest")
+    exploded = documents.select(key, F.explode_outer(tokens(F.col(text))).alias("_token"))
+    hashed = exploded.select(
+        key,
+        F.sha2(F.coalesce("_token", F.lit("")).cast("binary"), 256).alias("_digest"),
+        (F.col("_token") != "").alias("_real"),
     )
     idx, sign = _low_bits(F.col("_digest"), dim)
     return (
-        hashed.select(key, idx.alias("idx"), sign.alias("_sign"))
+        hashed.select(key, idx.alias("idx"), F.when(F.col("_real"), sign).otherwise(0).alias("_sign"))
         .groupBy(key, "idx")
         .agg(F.sum("_sign").alias("weight"))
-        .filter(F.col("weight") != 0)
     )
 
 
+def hashed_cells(documents: DataFrame, key: str, text: str, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """Non-zero cells of each document's vector before scaling: key, idx, weight."""
+    return _summed_cells(documents, key, text, dim).filter(F.col("weight") != 0)
+
+
 def hash_vectors(documents: DataFrame, key: str, text: str, dim: int = EMBEDDING_DIM) -> DataFrame:
     """key, vector of unit length. Texts without a token get zeros."""
-    cells = hashed_cells(documents, key, text, dim)
-    dense = cells.groupBy(key).agg(
+    gathered = _summed_cells(documents, key, text, dim).groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("_cells"),
         F.sqrt(F.sum(F.col("weight") * F.col("weight")).cast("double")).alias("_norm"),
     )
+    # A text without a token has only a cell of weight zero, and no length to divide by.
+    length = F.nullif(F.col("_norm"), F.lit(0.0))
     places = F.sequence(F.lit(0), F.lit(dim - 1))
-    filled = dense.select(
+    return gathered.select(
         key,
         F.transform(
-            places, lambda i: F.coalesce(F.col("_cells")[i].cast("double"), F.lit(0.0)) / F.col("_norm")
+            places, lambda i: F.coalesce(F.col("_cells")[i].cast("double") / length, F.lit(0.0))
         ).alias("vector"),
     )
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    return documents.select(key).join(filled, key, "left").select(
-        key, F.coalesce("vector", zeros).alias("vector")
-    )
 
 
 def document_vectors(

@@ -88,6 +88,9 @@ def pass_rate_by(results: DataFrame, key: str, threshold: float) -> DataFrame:
 
 # Tests each model declares.
 COLUMN_TESTS = {
+    "silver_canonical_events": {
+        "event_id": ["not_null", "unique"], "event_time": ["not_null"], "city_id": ["not_null"],
+    },
     "stg_silver_canonical_events": {
         "event_id": ["not_null", "unique"], "event_time": ["not_null"], "city_id": ["not_null"],
     },

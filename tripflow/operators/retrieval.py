@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tripflow.session import fresh_dir
-from tripflow.settings import DEFAULT_TOP_K
+from tripflow.settings import DEFAULT_TOP_K, EMBEDDING_DIM
 
 # A block of questions travels to every executor; it holds at most this many bytes of vectors.
 BLOCK_BYTES = 64 * 1024 * 1024
 MAX_TOP_K = 20
+QUESTIONS_AT_ONCE = 256
+# Up to this many hits are sent to the documents; beyond it the join is left to the optimizer.
+HITS_TO_SEND = 500_000
 
 
 def _vector_type(key: str, frame: DataFrame) -> T.DataType:
@@ -41,42 +44,47 @@ def _nearest_in_block(
     def best_of_task(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         unit = block.value
-        kept = None
+        # Distances in millionths and document ids of the best so far, a row per question.
+        best, best_ids = None, None
         for batch in batches:
+            fits = pc.equal(pc.list_value_length(batch.column(1)), dim)
+            batch = batch.filter(pc.fill_null(fits, False))
             if batch.num_rows == 0:
                 continue
+            ids = np.asarray(batch.column(0).to_pylist())
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             vectors = flat.reshape(batch.num_rows, dim)
             size = np.linalg.norm(vectors, axis=1, keepdims=True)
             vectors = np.divide(vectors, size, out=np.zeros_like(vectors), where=size > 0)
-            far = np.round(1.0 - unit @ vectors.T, 6) + 0.0
-            found = np.tile(np.asarray(batch.column(0).to_pylist(), dtype=object), (len(unit), 1))
-            if kept is not None:
-                far = np.hstack([kept[0], far])
-                found = np.hstack([kept[1], found])
-            if far.shape[1] > k:
-                # Everything as near as the k-th stays in play, then ties go by document id.
-                limit = np.partition(far, k - 1, axis=1)[:, k - 1]
-                rows = []
-                for q in range(len(unit)):
-                    near = np.flatnonzero(far[q] <= limit[q])
-                    near = sorted(near, key=lambda j: (far[q, j], found[q, j]))[:k]
-                    rows.append(near)
-                pick = np.asarray(rows)
-                far = np.take_along_axis(far, pick, axis=1)
-                found = np.take_along_axis(found, pick, axis=1)
-            kept = (far, found)
-        if kept is None:
+            known = ids if best_ids is None else np.concatenate([ids, best_ids.ravel()])
+            names = np.unique(known)
+            places = np.searchsorted(names, ids)
+            kept, kept_ids = [], []
+            # A few questions at a time bound the matrix of distances.
+            for start in range(0, len(unit), QUESTIONS_AT_ONCE):
+                rows = slice(start, start + QUESTIONS_AT_ONCE)
+                far = np.rint((1.0 - unit[rows] @ vectors.T) * 1e6).astype(np.int64)
+                # One number that sorts by distance and then by id.
+                order = far * len(names) + places
+                if best is not None:
+                    old = best[rows] * len(names) + np.searchsorted(names, best_ids[rows])
+                    order = np.hstack([old, order])
+                if order.shape[1] > k:
+                    order = np.partition(order, k - 1, axis=1)[:, :k]
+                kept.append(order // len(names))
+                kept_ids.append(names[order % len(names)])
+            best, best_ids = np.vstack(kept), np.vstack(kept_ids)
+        if best is None:
             return
-        far, found = kept
-        count = far.shape[1]
+        count = best.shape[1]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.repeat(np.arange(len(unit), dtype=np.int32), count)),
-                pa.array(found.reshape(-1).tolist(), type=doc_type),
-                pa.array(far.reshape(-1)),
+                pa.array(best_ids.ravel().tolist(), type=doc_type),
+                pa.array(best.ravel() / 1e6),
             ],
             names=["_q", doc, "distance"],
         )
@@ -84,8 +92,7 @@ def _nearest_in_block(
     from pyspark.sql.pandas.types import to_arrow_type
 
     doc_type = to_arrow_type(_vector_type(doc, documents))
-    sized = documents.filter(F.size("vector") == dim).select(doc, "vector")
-    scored = sized.mapInArrow(best_of_task, schema)
+    scored = documents.select(doc, "vector").mapInArrow(best_of_task, schema)
     names = spark.createDataFrame(
         list(enumerate(ids)),
         T.StructType(
@@ -107,15 +114,17 @@ def nearest(
     doc: str,
     question: str,
     k: int = DEFAULT_TOP_K,
+    dim: int = EMBEDDING_DIM,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The k documents with the smallest cosine distance per question.
 
-    Both sides hold an id and a ``vector``. Distances are rounded to six places
-    and ties go to the smaller document id. Documents never move: the questions
-    visit them, in blocks of bounded size. A single block stays a lazy plan;
-    several are worked off one after the other, each leaving its candidates in
-    the shared folder before the next is read.
+    Both sides hold an id and a ``vector`` of ``dim`` places; other vectors do
+    not take part. Distances are rounded to six places and ties go to the smaller
+    document id. Documents never move: the questions visit them, in blocks of
+    bounded size. A single block stays a lazy plan; several are worked off one
+    after the other, each leaving its candidates in the shared folder before the
+    next is read.
     """
     if not 1 <= k <= MAX_TOP_K:
         raise ValueError(f"k must lie between 1 and {MAX_TOP_K}")
@@ -128,18 +137,16 @@ def nearest(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    sized = questions.filter(F.size("vector") > 0)
-    stats = sized.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    count, dim = stats[0], stats[1]
-    if not count:
+    sized = questions.filter(F.size("vector") == dim)
+    fitting = max(1, block_bytes // (8 * dim))
+    ids, matrix = _collect_block(sized.limit(fitting + 1), question)
+    if not ids:
         return _ranked(spark.createDataFrame([], result_schema), question, doc, k)
-    blocks = max(1, -(-count * dim * 8 // block_bytes))
-    if blocks == 1:
-        ids, matrix = _collect_block(sized, question)
+    if len(ids) <= fitting:
         scored = _nearest_in_block(documents, ids, matrix, question, doc, k, kind)
         return _ranked(scored, question, doc, k)
     # Hashing spreads ids unevenly, so blocks are cut twice as fine as the bound asks.
-    blocks *= 2
+    blocks = -(-2 * sized.count() // fitting)
     folder = fresh_dir(spark, "nearest")
     for number in range(blocks):
         share = sized.filter(F.pmod(F.xxhash64(question), F.lit(blocks)) == number)
@@ -166,9 +173,17 @@ def only_scope(documents: DataFrame, city_id: str | None = None, source_type: st
     return rows
 
 
-def with_properties(hits: DataFrame, documents: DataFrame, doc: str) -> DataFrame:
-    """Attach text and metadata to the hits, after the search has made them few."""
-    return hits.join(documents, doc)
+def with_properties(
+    hits: DataFrame, documents: DataFrame, doc: str, most_hits: int | None = None
+) -> DataFrame:
+    """Attach text and metadata to the hits.
+
+    ``most_hits`` is the caller's bound, questions times k. Within the limit the
+    hits go to the documents, whose texts then stay where they are.
+    """
+    if most_hits is not None and most_hits <= HITS_TO_SEND:
+        return documents.join(F.broadcast(hits), doc)
+    return documents.join(hits, doc)
 
 
 # Context and answers ---------------------------------------------------------

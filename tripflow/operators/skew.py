@@ -10,43 +10,60 @@ def unmatched_spread(key: Column, row_id: Column) -> Column:
     return F.coalesce(key, F.concat(F.lit("\u0000"), row_id))
 
 
-def hot_keys(frame: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys with more rows than the threshold, hence at most rows / threshold of them."""
+def hot_keys(frame: DataFrame, key: str, share: float) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows: by arithmetic fewer than 1 / share."""
     counts = frame.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > threshold).select(key)
+    total = counts.agg(F.sum("_n").alias("_total")).scalar()
+    return counts.filter(F.col("_n") > total * F.lit(share)).select(key)
 
 
-def salted_left_join(
-    left: DataFrame, right: DataFrame, key: str, row_id: str, salts: int, threshold: int
+def grid_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_id: list[str],
+    right_id: list[str],
+    salts: int = 16,
+    share: float = 0.001,
 ) -> DataFrame:
-    """Left join in which only the hot keys of the left side are spread over ``salts`` tasks.
+    """Left join that spreads keys with many rows, on either side, over a grid of tasks.
 
-    Right rows of a hot key are copied once per salt, all others once. The
-    number of hot keys is bounded by the row count over the threshold; the
-    joins that mark them are left to adaptive execution, which broadcasts on
-    measured size only.
+    A row of a key that is hot on its own side goes to one of ``salts`` lines of
+    the grid, and to every column the other side is spread over. Rows of other
+    keys are neither copied nor spread. The id columns decide the line; they are
+    data, so that a task that runs again places its rows as before.
     """
-    hot = hot_keys(left, key, threshold).withColumn("_hot", F.lit(True))
-    spread_key = unmatched_spread(F.col(key), F.col(row_id))
-    marked = left.withColumn("_k", spread_key).join(
-        hot.withColumnRenamed(key, "_k"), "_k", "left"
-    )
-    salted = marked.withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")).otherwise(0),
-    ).drop("_hot")
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = (
-        right.filter(F.col(key).isNotNull())
-        .withColumnRenamed(key, "_k")
-        .join(hot.withColumnRenamed(key, "_k"), "_k", "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))),
+
+    def line(hot: str, id_columns: list[str]) -> Column:
+        place = F.pmod(F.xxhash64(*id_columns), F.lit(salts)).cast("int")
+        return F.when(F.col(hot), place).otherwise(0)
+
+    def every(hot: str) -> Column:
+        lines = F.sequence(F.lit(0), F.lit(salts - 1))
+        return F.explode(F.when(F.col(hot), lines).otherwise(F.array(F.lit(0))))
+
+    # Both lists have fewer than 1 / share rows.
+    hot_left = hot_keys(left, key, share).select(F.col(key).alias("_k"), F.lit(True).alias("_hot_l"))
+    hot_right = hot_keys(right, key, share).select(F.col(key).alias("_k"), F.lit(True).alias("_hot_r"))
+
+    def marked(frame: DataFrame) -> DataFrame:
+        return frame.join(F.broadcast(hot_left), "_k", "left").join(
+            F.broadcast(hot_right), "_k", "left"
         )
-        .drop("_hot")
+
+    spread_key = unmatched_spread(F.col(key), F.xxhash64(*left_id).cast("string"))
+    lefts = marked(left.withColumn("_k", spread_key)).select(
+        *left.columns, "_k", "_hot_r", line("_hot_l", left_id).alias("_i"), every("_hot_r").alias("_j")
+    )
+    known = right.filter(F.col(key).isNotNull()).withColumnRenamed(key, "_k")
+    rights = marked(known).select(
+        *known.columns, line("_hot_r", right_id).alias("_j"), every("_hot_l").alias("_i"),
+        F.lit(True).alias("_met"),
     )
-    return salted.join(copies, ["_k", "_salt"], "left").drop("_k", "_salt")
+    joined = lefts.join(rights, ["_k", "_i", "_j"], "left")
+    # A key hot on the right has partners, if not in every column.
+    whole = joined.filter(F.col("_met") | F.col("_hot_r").isNull())
+    return whole.drop("_k", "_i", "_j", "_hot_r", "_met")
 
 
 def spread(scan: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tripflow.functions import keys
-from tripflow.operators.skew import unmatched_spread
+from tripflow.operators.skew import grid_left_join
 from tripflow.operators.timeline import running_before
 
 DEMAND_COLUMNS = [
@@ -20,26 +20,22 @@ def demand_city_daily(mart: DataFrame) -> DataFrame:
 
 def fraud_trip(fact_fraud: DataFrame, fact_trip: DataFrame) -> DataFrame:
     """Cases with the trip rows of the same trip. A trip has one row per event, so cases
-    fan out. Cases without a trip are spread; adaptive execution splits trips with many rows."""
+    fan out, and a trip with very many events is spread on either side."""
     cases = fact_fraud.select(
         "fraud_fact_key",
         "trip_id",
         "city_key",
         "fraud_score",
         F.when(F.col("risk_band") == "high", 1).otherwise(0).alias("is_high_risk"),
-        unmatched_spread(F.col("trip_id"), F.col("fraud_fact_key")).alias("_trip"),
     )
-    trips = fact_trip.filter(F.col("trip_id").isNotNull()).select(
-        F.col("trip_id").alias("_trip"),
-        "final_fare",
-        "surge_multiplier",
-        "cancelled_flag",
-        "completed_flag",
+    trips = fact_trip.select(
+        "trip_id", "final_fare", "surge_multiplier", "cancelled_flag", "completed_flag", "created_at"
     )
-    return (
-        cases.join(trips, "_trip", "left")
-        .drop("_trip")
-        .fillna({"final_fare": 0.0, "surge_multiplier": 1.0, "cancelled_flag": 0, "completed_flag": 0})
+    joined = grid_left_join(
+        cases, trips, "trip_id", ["fraud_fact_key"], ["created_at", "final_fare", "surge_multiplier"]
+    )
+    return joined.drop("created_at").fillna(
+        {"final_fare": 0.0, "surge_multiplier": 1.0, "cancelled_flag": 0, "completed_flag": 0}
     )
 
 

@@ -614,6 +614,7 @@ _oracle(
 
 def _column_tests() -> str:
     tests = {
+        "silver_canonical_events": ("stg", "event_id", ["event_id", "event_time", "city_id"]),
         "stg_silver_canonical_events": ("stg", "event_id", ["event_id", "event_time", "city_id"]),
         "dim_city": ("dim_city", "city_key", ["city_key", "city_id"]),
         "dim_rider": ("dim_rider", "rider_key", ["rider_key", "rider_id"]),

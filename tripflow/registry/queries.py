@@ -420,6 +420,7 @@ def quality_pass_rate(spark, sf_dir):
 def quality_column_tests(spark, sf_dir):
     staging = staged_events(spark, sf_dir)
     built = {
+        "silver_canonical_events": staging,
         "stg_silver_canonical_events": staging,
         "dim_city": dimensions.dim_city(staging),
         "dim_rider": dimensions.dim_rider(staging, NOW),
@@ -793,7 +794,7 @@ def _hits(spark, sf_dir, k=5, city_id=None):
     documents = embeddings.hash_vectors(corpus, "id", "text")
     asked = embeddings.hash_vectors(questions, "question_id", "question")
     hits = retrieval.nearest(documents, asked, "id", "question_id", k)
-    return questions, retrieval.with_properties(hits, corpus, "id")
+    return questions, retrieval.with_properties(hits, corpus, "id", questions.count() * k)
 
 
 @query
@@ -819,7 +820,7 @@ def nearest_to_label_centre(spark, sf_dir):
         ).alias("vector")
     )
     documents = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
-    return retrieval.nearest(documents, centres, "vec_id", "label", 10)
+    return retrieval.nearest(documents, centres, "vec_id", "label", 10, dim=64)
 
 
 @query
