@@ -76,7 +76,7 @@ def silver_quarantine(spark, sf_dir):
 
 @query
 def loader_first_arrivals(spark, sf_dir):
-    parsed = silver.with_payload(all_messages(spark, sf_dir)).withColumn(
+    parsed = silver.with_payload(all_messages(spark, sf_dir), ["event_id"]).withColumn(
         "event_id", F.col("payload.event_id")
     )
     first = dedup.first_arrivals(parsed)

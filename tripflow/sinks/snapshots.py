@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tripflow.operators.upsert import append_keep_last, insert_if_absent, merge_fields, replace_by_key
 
@@ -16,9 +17,11 @@ class SnapshotTable:
     so a job that dies before the marker leaves the old version in force.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, schema: StructType | None = None):
+        """``schema`` fixes the types of partition columns, which reading would guess."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.schema = schema
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
@@ -39,7 +42,8 @@ class SnapshotTable:
         version = self.version()
         if version is None:
             raise FileNotFoundError(f"{self.root} has no current version")
-        return self.spark.read.parquet(f"{self.root}/{version}")
+        reader = self.spark.read.schema(self.schema) if self.schema else self.spark.read
+        return reader.parquet(f"{self.root}/{version}")
 
     def replace(self, frame: DataFrame, partition_by: list[str] | None = None) -> None:
         version = f"v-{uuid.uuid4().hex}"
