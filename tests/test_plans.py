@@ -26,16 +26,12 @@ def plan_of(frame) -> str:
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_no_product_and_no_row_at_a_time_python(spark, name):
+def test_no_product_no_python_rows_no_window_in_one_task(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert word not in plan, plan
-
-
-@pytest.mark.parametrize("name", NAMES)
-def test_no_window_over_all_rows_in_one_task(spark, name):
-    """A window below a single-partition exchange would have no partition columns."""
-    lines = plan_of(entry.queries()[name](spark, SF_DIR)).splitlines()
+    # A window right above a single-partition exchange would have no partition columns.
+    lines = plan.splitlines()
     for number, line in enumerate(lines):
         if "Window [" in line:
             assert not any("Exchange SinglePartition" in below for below in lines[number : number + 4])

@@ -66,16 +66,45 @@ def test_incremental_fact_equals_replacement_in_memory(spark, staging, tmp_path)
     assert sorted((r["trip_id"], r["created_at"]) for r in table.read().collect()) == rows
 
 
-def test_incremental_fact_reruns_after_a_lost_mark(spark, staging, tmp_path):
+def test_incremental_fact_finishes_a_load_that_died(spark, staging, tmp_path, monkeypatch):
     first, later = [event(1, "t1", start(1))], [event(2, "t1", start(2)), event(3, "t2", start(2))]
+    whole = IncrementalFact(spark, "fact_trip", str(tmp_path / "whole"))
+    broken = IncrementalFact(spark, "fact_trip", str(tmp_path / "broken"))
+    for table in (whole, broken):
+        table.load(staging(*first))
+    whole.load(staging(*first, *later))
+    wanted = sorted(map(str, whole.read().collect()))
+
+    # Dies while the days are being overwritten: one of them is gone, the mark is old.
+    def die(*_):
+        broken._drop_day("2024-01-01")
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(broken, "_write", die)
+    with pytest.raises(RuntimeError):
+        broken.load(staging(*first, *later))
+    monkeypatch.undo()
+    assert broken.high_water() == start(1)
+    broken.load(staging(*first, *later))
+    assert sorted(map(str, broken.read().collect())) == wanted
+    assert broken.high_water() == start(2)
+    # The same change once more alters nothing.
+    broken._advance(start(1), "first")
+    broken.apply_pending()
+    assert sorted(map(str, broken.read().collect())) == wanted
+
+
+def test_new_fact_columns_are_null_in_older_rows(spark, staging, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tripflow.plans.facts import FACTS, Fact
+
     table = IncrementalFact(spark, "fact_trip", str(tmp_path))
-    table.load(staging(*first))
-    table.load(staging(*first, *later))
-    wanted = sorted(map(str, table.read().collect()))
-    # As if the job had died between the data and the mark.
-    table._advance(start(1))
-    table.load(staging(*first, *later))
-    assert sorted(map(str, table.read().collect())) == wanted
+    table.load(staging(event(1, "t1", start(1)), event(2, "t2", start(1))))
+    old = FACTS["fact_trip"]
+    table.fact = Fact(old.key, old.known, lambda: {**old.columns(), "extra": F.lit(7)})
+    table.load(staging(event(3, "t1", start(2))))
+    assert {r["trip_id"]: r["extra"] for r in table.read().collect()} == {"t1": 7, "t2": None}
 
 
 def test_lookback_admits_late_events(spark, staging, tmp_path):

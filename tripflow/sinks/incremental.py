@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tripflow import schemas
 from tripflow.operators.upsert import EPOCH, high_water
 from tripflow.plans.facts import FACTS
 from tripflow.sinks.snapshots import SnapshotTable
@@ -17,39 +19,44 @@ class IncrementalFact:
     """A fact on disk. A load takes events past the high-water mark, replaces rows of equal key
     and rewrites only the date partitions that hold such rows.
 
-    The mark is stored after the data. A load that died in between runs again
-    from the old mark and arrives at the same rows, because replacing by key
-    twice changes nothing.
+    A later load first writes the new content of those partitions beside the table and notes
+    it as pending. Only then does it overwrite them, and last it stores the mark. A load that
+    dies in between leaves either nothing or a pending change, which the next load applies
+    before it starts; applying it twice changes nothing.
     """
 
     def __init__(self, spark: SparkSession, name: str, root: str):
         self.spark = spark
         self.fact = FACTS[name]
-        self.path = f"{root.rstrip('/')}/{name}/data"
-        self.mark = SnapshotTable(spark, f"{root.rstrip('/')}/{name}/mark")
-        self.batches = f"{root.rstrip('/')}/{name}/batches"
+        base = f"{root.rstrip('/')}/{name}"
+        self.path = f"{base}/data"
+        self.changes = f"{base}/changes"
+        self.mark = SnapshotTable(spark, f"{base}/mark")
+        self.pending = SnapshotTable(spark, f"{base}/pending")
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """In today's columns: older files that lack one hold NULL there."""
+        columns = self.fact.build(self.spark.createDataFrame([], schemas.STAGING))
+        schema = columns.withColumn(DAY, F.to_date("created_at")).schema
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def loaded(self) -> bool:
         return self.mark.exists()
 
     def high_water(self) -> datetime:
-        return self.mark.read().first()[0] if self.loaded() else EPOCH
+        return self.mark.read().first()["high_water"] if self.loaded() else EPOCH
 
     def load(self, staging: DataFrame, lookback: timedelta = timedelta(0)) -> datetime:
         if not self.loaded():
-            rows = self.fact.build(staging).withColumn(DAY, F.to_date("created_at"))
-            self._write(rows, "static")
-            return self._advance(high_water(self.read()))
-        since = self.high_water() - lookback
-        built = self.fact.build(staging, newer_than=since)
-        # The batch is written once: it is read for its keys, its days and its rows, and a
-        # lost executor must not make a second reading differ from the first.
-        folder = f"{self.batches}/{since:%Y%m%dT%H%M%S%f}"
-        built.withColumn(DAY, F.to_date("created_at")).write.mode("overwrite").parquet(folder)
-        batch = self.spark.read.parquet(folder)
+            self._write(self.fact.build(staging).withColumn(DAY, F.to_date("created_at")), "static")
+            return self._advance(high_water(self.read()), "first")
+        self.apply_pending()
+        batch = self.fact.build(staging, newer_than=self.high_water() - lookback)
+        batch = batch.withColumn(DAY, F.to_date("created_at"))
+        change = f"{self.changes}/{uuid.uuid4().hex}"
+        # Written once: it is read for its keys, its days and its rows.
+        batch.write.parquet(f"{change}/batch")
+        batch = self.spark.read.schema(batch.schema).parquet(f"{change}/batch")
         if batch.isEmpty():
             return self.high_water()
         new_keys = batch.select(self.fact.key).distinct()
@@ -66,12 +73,29 @@ class IncrementalFact:
         )
         batch_days = {r[0] for r in batch.select(DAY).distinct().collect()}
         touched = sorted({d[DAY] for d in days} | batch_days)
+        emptied = [d[DAY] for d in days if d["stay"] == 0 and d[DAY] not in batch_days]
         kept = existing.filter(F.col(DAY).isin(touched)).join(new_keys, self.fact.key, "left_anti")
-        self._write(kept.select(*batch.columns).unionByName(batch), "dynamic")
-        for day in days:
-            if day["stay"] == 0 and day[DAY] not in batch_days:
-                self._drop_day(day[DAY])
-        return self._advance(max(self.high_water(), high_water(batch)))
+        kept.select(*batch.columns).unionByName(batch).write.parquet(f"{change}/days")
+        self.pending.replace(
+            self.spark.createDataFrame(
+                [(change, max(self.high_water(), high_water(batch)), emptied)],
+                "change string, high_water timestamp, emptied array<date>",
+            )
+        )
+        self.apply_pending()
+        return self.high_water()
+
+    def apply_pending(self) -> None:
+        """Carry out the noted change unless the mark shows that it is done."""
+        if not self.pending.exists():
+            return
+        note = self.pending.read().first()
+        if self.mark.read().first()["change"] == note["change"]:
+            return
+        self._write(self.spark.read.parquet(f"{note['change']}/days"), "dynamic")
+        for day in note["emptied"]:
+            self._drop_day(day)
+        self._advance(note["high_water"], note["change"])
 
     def _write(self, rows: DataFrame, mode: str) -> None:
         (
@@ -88,7 +112,8 @@ class IncrementalFact:
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         path.getFileSystem(conf).delete(path, True)
 
-    def _advance(self, value: datetime) -> datetime:
-        frame = self.spark.createDataFrame([(value,)], "high_water timestamp")
-        self.mark.replace(frame)
+    def _advance(self, value: datetime, change: str) -> datetime:
+        self.mark.replace(
+            self.spark.createDataFrame([(value, change)], "high_water timestamp, change string")
+        )
         return value
