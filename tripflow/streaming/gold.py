@@ -8,7 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tripflow.plans.gold import city_hourly
 from tripflow.settings import WATERMARK
 from tripflow.sources.lake import stream_silver
-from tripflow.streaming.run import append_parquet
+from tripflow.streaming.run import append_parquet, gathered
+
+PARTITIONS = ["event_date", "city_id"]
 
 
 def hourly_metrics(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -25,10 +27,10 @@ def start(
 ) -> StreamingQuery:
     silver = stream_silver(spark, f"{silver_root}/canonical_events", max_files)
     return append_parquet(
-        hourly_metrics(silver),
+        gathered(hourly_metrics(silver), PARTITIONS, 1, "window_start"),
         name="gold_city_hourly_metrics",
         path=f"{gold_root}/city_hourly_metrics",
         checkpoint=f"{checkpoint_root}/city_hourly_metrics",
-        partition_by=["event_date", "city_id"],
+        partition_by=PARTITIONS,
         bounded=bounded,
     )

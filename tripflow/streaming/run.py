@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+def gathered(frame: DataFrame, partition_by: list[str], files: int, by: str) -> DataFrame:
+    """Rows of a micro-batch laid out so that a partition gets at most ``files`` files, not one
+    from every task. ``by`` spreads a partition that holds much of the batch."""
+    lane = F.pmod(F.xxhash64(by), F.lit(files))
+    return frame.repartition(*partition_by, lane)
+
+
 def append_parquet(
     frame: DataFrame,
     name: str,
@@ -13,8 +20,13 @@ def append_parquet(
     checkpoint: str,
     partition_by: list[str] | None = None,
     bounded: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Append-only Parquet sink; ``bounded`` works off what is there now and stops."""
+    """Append-only Parquet sink; ``bounded`` works off what is there now and stops.
+
+    A stream keeps the number of its state partitions for life and has no
+    adaptive execution to merge small ones, so it gets one per core unless told.
+    """
     writer = (
         frame.writeStream.queryName(name)
         .format("parquet")
@@ -26,7 +38,14 @@ def append_parquet(
         writer = writer.partitionBy(*partition_by)
     if bounded:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    spark = frame.sparkSession
+    session_width = spark.conf.get("spark.sql.shuffle.partitions")
+    width = state_partitions or spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", session_width)
 
 
 def await_all(queries: list[StreamingQuery]) -> None:

@@ -9,7 +9,9 @@ from tripflow.operators.validity import quarantined_rows, valid_rows
 from tripflow.plans.silver import to_canonical
 from tripflow.settings import WATERMARK
 from tripflow.sources.lake import stream_bronze
-from tripflow.streaming.run import append_parquet
+from tripflow.streaming.run import append_parquet, gathered
+
+PARTITIONS = ["event_date", "city_id"]
 
 
 def usable_events(canonical: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -30,15 +32,17 @@ def start(
     bounded: bool = False,
     watermark: str = WATERMARK,
     max_files: int | None = None,
+    files_per_partition: int = 8,
 ) -> list[StreamingQuery]:
     canonical = to_canonical(stream_bronze(spark, bronze_root, max_files))
+    usable = usable_events(canonical, watermark)
     return [
         append_parquet(
-            usable_events(canonical, watermark),
+            gathered(usable, PARTITIONS, files_per_partition, "event_id"),
             name="silver_canonical_events",
             path=f"{silver_root}/canonical_events",
             checkpoint=f"{checkpoint_root}/canonical_events",
-            partition_by=["event_date", "city_id"],
+            partition_by=PARTITIONS,
             bounded=bounded,
         ),
         append_parquet(
