@@ -184,7 +184,7 @@ def test_zero_counts_as_missing_in_the_store(staging):
     assert (case["fraud_score"], case["final_fare"], case["surge_multiplier"]) == (None, None, 1.0)
 
 
-def test_ticket_of_no_trip_reads_like_the_original(staging):
+def test_ticket_without_a_trip_says_none(staging):
     rows = staging(
         {"event_id": "a", "event_type": "complaint_raised", "event_time": "2026-06-16T10:00:00", "city_id": "NYC"}
     )
