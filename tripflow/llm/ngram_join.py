@@ -187,8 +187,7 @@ def _unfinished(entries: DataFrame) -> DataFrame:
     return entries.join(open_, "gram", "left_semi")
 
 
-def _with_components(entries: DataFrame, found: DataFrame) -> DataFrame:
-    labels = components(found).select(F.col("node").alias("r"), F.col("component").alias("c"))
+def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.drop("c").join(labels, "r", "left").withColumn("c", F.coalesce("c", "r"))
 
 
@@ -221,16 +220,16 @@ def ngram_classes(
     shared.unpersist()
     matrix = _matrix(rows, similarity)
     entries = stored(_leading(matrix, similarity), "ngram-leading").withColumn("c", F.col("r"))
-    links = None
+    links = labels = None
     for turn in range(CENTRAL_ROUNDS + 1):
         pairs = _central_pairs(entries, similarity, turn) if turn < CENTRAL_ROUNDS else _all_pairs(entries, similarity)
         found = stored(_links(matrix, pairs, similarity), "ngram-links")
-        links = found if links is None else links.union(found)
-        if turn < CENTRAL_ROUNDS:
-            entries = stored(_unfinished(_with_components(entries, links)), "ngram-open")
+        if labels is None or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = stored(components(links).select(F.col("node").alias("r"), F.col("component").alias("c")), "ngram-labels")
+            entries = stored(_unfinished(_labelled(entries, labels)), "ngram-open")
     # Equal sets are one class: named through their sums, then through the links of their row.
     sets = rows.where("n > 0").groupBy("c1", "c2").agg(F.min("row_id").alias("least")).withColumn("r", F.col("c1"))
-    labels = components(links).select(F.col("node").alias("r"), F.col("component").alias("c"))
     named = sets.join(labels, "r", "left").withColumn("c", F.coalesce("c", "r"))
     tops = named.groupBy("c").agg(F.min("least").alias("component_id"))
     classes = named.join(tops, "c").select("c1", "c2", "component_id", F.lit(True).alias("has"))
