@@ -70,7 +70,7 @@ def _rows(shingle: int, bits: int, similarity: tuple[int, int], shared):
     there are too few of them for any link."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merged = np.frombuffer(shared.value, np.uint8)
+        merged = sketch.merged_bits(shared, bits)
         for batch in groups(batches):
             text, hashes = _sets(batch, shingle)
             rows = batch.num_rows

@@ -12,6 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ ROWS = 2
 # Ranges of counters that are merged apart.
 RANGES = 64
 # Hashes a task gathers before it sends its sketch.
-FLUSH = 4_000_000
+FLUSH = 2_000_000
 
 SKETCH_SCHEMA = "range int, once binary, twice binary"
 
@@ -73,12 +75,12 @@ class TaskSketch:
         span = (ROWS << self.bits) // RANGES
         rows: list[tuple[int, bytes, bytes]] = []
         for row in range(ROWS):
-            found, many = np.unique(counters(hashes, row, self.bits), return_counts=True)
+            found = counters(hashes, row, self.bits)
+            found.sort()
             cuts = np.searchsorted(found, np.arange(RANGES + 1) * span)
             for r in range(RANGES):
-                own = slice(cuts[r], cuts[r + 1])
                 if cuts[r] < cuts[r + 1]:
-                    at, n = found[own] - r * span, many[own]
+                    at, n = np.unique(found[cuts[r] : cuts[r + 1]] - r * span, return_counts=True)
                     rows.append((r, _pack(at[n == 1]), _pack(at[n > 1])))
         return pa.RecordBatch.from_arrays(
             [pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary()), pa.array([x[2] for x in rows], pa.binary())],
@@ -86,8 +88,9 @@ class TaskSketch:
         )
 
 
-def merge(sketches: DataFrame, bits: int) -> bytes:
-    """One bit per counter: two hashes or more fell on it. Of fixed size, so the driver may hold it."""
+def merge(sketches: DataFrame, bits: int) -> list[bytes]:
+    """One bit per counter: two hashes or more fell on it. A compressed piece per range, in order; all
+    of them have a fixed size, so the driver may hold them."""
     span = (ROWS << bits) // RANGES
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,13 +103,32 @@ def merge(sketches: DataFrame, bits: int) -> bytes:
                 one[at] = True
                 two[_unpack(twice)] = True
         for r, (_, two) in seen.items():
-            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([np.packbits(two).tobytes()], pa.binary())], names=["range", "bits"])
+            piece = zstandard.compress(np.packbits(two).tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([piece], pa.binary())], names=["range", "bits"])
 
     rows = sketches.repartition(RANGES, F.col("range")).mapInArrow(merged, "range int, bits binary").toLocalIterator()
-    out = bytearray((ROWS << bits) // 8)
+    pieces = [b""] * RANGES
     for row in rows:
-        out[row["range"] * span // 8 : (row["range"] + 1) * span // 8] = row["bits"]
-    return bytes(out)
+        pieces[row["range"]] = bytes(row["bits"])
+    return pieces
+
+
+# What this worker unpacked last, and from which pieces: tasks of one job share it.
+_unpacked: list = [None, None]
+
+
+def merged_bits(shared: Broadcast, bits: int) -> np.ndarray:
+    """The bits of a merged sketch that was broadcast."""
+    pieces = shared.value
+    if _unpacked[0] is not pieces:
+        _unpacked[:] = [None, None]
+        size = (ROWS << bits) // RANGES // 8
+        out = np.zeros(size * RANGES, np.uint8)
+        for r, piece in enumerate(pieces):
+            if piece:
+                out[r * size : (r + 1) * size] = np.frombuffer(zstandard.decompress(piece), np.uint8)
+        _unpacked[:] = [pieces, out]
+    return _unpacked[1]
 
 
 def repeated(hashes: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:

@@ -85,7 +85,7 @@ def _settle(h1: np.ndarray, h2: np.ndarray, key: np.ndarray, at: np.ndarray) ->
 
 def _windower(window: int, bits: int, shared):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merged = np.frombuffer(shared.value, np.uint8)
+        merged = sketch.merged_bits(shared, bits)
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for batch in groups(batches):

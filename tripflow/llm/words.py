@@ -14,7 +14,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = " \t\n\x0b\x0c\r"
 
 # Texts hashed at once; a longer single text makes a group of its own.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 
 _U = np.uint64
 _LETTERS = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
