@@ -9,9 +9,9 @@ blocks of columns, from rare to frequent:
    can have several; a row with fewer than ``t * a`` entries there links with nothing and leaves
    the matrix, as do rows equal to another.
 2. the leading columns of each row in order of rarity. Two rows that share none of them can't reach
-   the bound. Counts are accumulated over these columns, and a pair goes whose count plus what the
-   remaining columns can add stays below its bound.
-3. the remaining columns, for pairs that are left. Their count is exact.
+   the bound. For the first column that they share, what both rows have from there on must reach it
+   too, or the pair goes.
+3. all columns, for pairs that are left. Their counts are exact, and those below the bound go.
 
 A column with many entries would give all pairs of them. So it is first multiplied by its most
 central row alone (the one with the fewest rare columns), and rows linked by that are put into one
@@ -123,10 +123,11 @@ def _matrix(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
 
 
 def _leading(matrix: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Entries in the leading columns: (gram, r, n, u, rest, restshort, small).
+    """Entries in the leading columns: (gram, r, n, u, place, small).
 
-    ``small`` marks columns among which a match must be if the other set is no smaller. ``rest`` and
-    ``restshort`` count the entries after the leading columns, and after those marked small.
+    ``place`` is the place of the column among those of the row, counted from 0 in order of rarity.
+
+    ``small`` marks columns among which a match must be if the other set is no smaller.
     """
     low, high = similarity
     lead = F.col("n") - F.ceil(low * F.col("n") / high) + 1
@@ -135,8 +136,8 @@ def _leading(matrix: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         matrix.withColumn("lead", F.greatest(lead - F.col("u"), F.lit(0)).cast("int"))
         .withColumn("short", F.greatest(short - F.col("u"), F.lit(0)).cast("int"))
         .where("lead > 0")
-        .select("r", "n", "u", "short", (F.size("grams") - F.col("lead")).alias("rest"), (F.size("grams") - F.col("short")).alias("restshort"), F.posexplode(F.slice("grams", F.lit(1), F.col("lead"))).alias("at", "gram"))
-        .select("gram", "r", "n", "u", "rest", "restshort", (F.col("at") < F.col("short")).alias("small"))
+        .select("r", "n", "u", "short", F.posexplode(F.slice("grams", F.lit(1), F.col("lead"))).alias("at", "gram"))
+        .select("gram", "r", "n", "u", (F.col("u") + F.col("at")).alias("place"), (F.col("at") < F.col("short")).alias("small"))
     )
 
 
@@ -149,7 +150,13 @@ def _links(matrix: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) ->
 
 
 def _near(similarity: tuple[int, int]) -> Column:
-    return similarity[0] * F.greatest("na", "nb") <= similarity[1] * F.least("na", "nb")
+    """Sizes, and places of the column, that allow a link.
+
+    If the column is the first that two rows share, what both have from there on is all they can
+    share. A pair that links passes at its first shared column, so others may fail.
+    """
+    left = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb"))
+    return (similarity[0] * F.greatest("na", "nb") <= similarity[1] * F.least("na", "nb")) & _bound("na", "nb", left, similarity)
 
 
 def _named(entries: DataFrame, side: str) -> DataFrame:
@@ -160,25 +167,18 @@ def _central_pairs(entries: DataFrame, similarity: tuple[int, int], turn: int) -
     """Rows of a column with one row of it, if they are in different components: first the most
     central one, later another each turn."""
     rank = F.col("u") if turn == 0 else F.xxhash64("r", F.lit(turn))
-    central = entries.groupBy("gram").agg(F.min(F.struct(rank.alias("rank"), "r", "n", "c")).alias("m"))
-    central = central.select("gram", F.col("m.r").alias("a"), F.col("m.n").alias("na"), F.col("m.c").alias("ca"))
-    members = entries.select("gram", F.col("r").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+    central = entries.groupBy("gram").agg(F.min(F.struct(rank.alias("rank"), "r", "n", "c", "place")).alias("m"))
+    central = central.select("gram", *(F.col(f"m.{x}").alias(y) for x, y in (("r", "a"), ("n", "na"), ("c", "ca"), ("place", "placea"))))
+    members = entries.select("gram", F.col("r").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("place").alias("placeb"))
     return members.join(central, "gram").where(_near(similarity) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
 
 
 def _all_pairs(entries: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Rows that share a leading column across components, with counts that can still reach the bound."""
+    """Rows that share a leading column across components and can still reach the bound."""
     one, two = _named(entries, "a"), _named(entries, "b")
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ra") < F.col("rb")))
-    return (
-        one.where("smalla").join(two, "gram")
-        .where(smaller & (F.col("ca") != F.col("cb")) & _near(similarity))
-        .groupBy("ra", "rb")
-        .agg(F.count("*").alias("seen"), *(F.any_value(c).alias(c) for c in ("na", "nb", "restshorta", "restb")))
-        # What either set has after its leading columns is all that the count can still gain.
-        .where(_bound("na", "nb", F.col("seen") + F.greatest("restshorta", "restb"), similarity))
-        .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    )
+    met = one.where("smalla").join(two, "gram").where(smaller & (F.col("ca") != F.col("cb")) & _near(similarity))
+    return met.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
 
 
 def _unfinished(entries: DataFrame) -> DataFrame:
