@@ -3,7 +3,7 @@
 Pass one counts the window hashes of every task in a sketch; the sketches are merged to a bit per
 counter, which says that two windows or more fell there. Pass two hashes all windows again, leaves
 those whose counters stayed below two (they are certainly unique) and groups the others exactly, by
-128 bits of hash. The sketch only ever overestimates, so no repeated window is lost, and what it
+96 bits of hash. The sketch only ever overestimates, so no repeated window is lost, and what it
 lets through by mistake the grouping finds to be unique.
 
 Copies that a task sees within one gathering are settled there, and one row tells the others about
@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm import sketch
-from tripflow.llm.tables import stored
 from tripflow.llm.words import Texts, groups, mix
 
 WINDOW = 35
@@ -30,7 +29,9 @@ BITS = 29
 # Windows gathered by a task before it settles copies among them.
 GATHER = 1_000_000
 
-_WINDOWS = "h1 long, h2 long, n int, row_key long, at int, length int"
+# length: windows in a run whose places are settled, or -1 for one that has yet to be grouped. A null
+# row_key marks a row that only tells that its window occurred twice.
+_WINDOWS = "h1 long, h2 int, row_key long, at int, length int"
 
 
 def _sketcher(window: int, bits: int):
@@ -45,12 +46,12 @@ def _sketcher(window: int, bits: int):
     return sketched
 
 
-def _record(h1, h2, n, key, at, length) -> pa.RecordBatch:
-    """Rows of windows; a null key marks a row that only tells about its window."""
+def _record(h1, h2, key, at, length) -> pa.RecordBatch:
     nobody = key == np.iinfo(np.int64).min
+    h2 = (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(key, mask=nobody), pa.array(at.astype(np.int32)), pa.array(length.astype(np.int32))],
-        names=["h1", "h2", "n", "row_key", "at", "length"],
+        [pa.array(h1.view(np.int64)), pa.array(h2), pa.array(key, mask=nobody), pa.array(at.astype(np.int32)), pa.array(length.astype(np.int32))],
+        names=["h1", "h2", "row_key", "at", "length"],
     )
 
 
@@ -63,11 +64,10 @@ def _settle(h1: np.ndarray, h2: np.ndarray, key: np.ndarray, at: np.ndarray) ->
     first = np.flatnonzero(new)
     many = np.diff(np.append(first, len(h1)))
     single = first[many == 1]
-    one = np.ones(len(single), np.int32)
-    yield _record(h1[single], h2[single], one, key[single], at[single], one)
+    yield _record(h1[single], h2[single], key[single], at[single], np.full(len(single), -1))
     told = first[many > 1]
     none = np.full(len(told), np.iinfo(np.int64).min)
-    yield _record(h1[told], h2[told], np.full(len(told), 2), none, np.zeros(len(told)), np.ones(len(told)))
+    yield _record(h1[told], h2[told], none, np.zeros(len(told)), np.ones(len(told)))
     # Settled places, as runs of neighbouring windows of one text.
     mine = np.repeat(many > 1, many)
     key, at = key[mine], at[mine]
@@ -80,7 +80,7 @@ def _settle(h1: np.ndarray, h2: np.ndarray, key: np.ndarray, at: np.ndarray) ->
         end = np.append(start[1:], len(at)) - 1
         # Their hash only has to spread them.
         spread = mix(key[start].view(np.uint64) + at[start].astype(np.uint64))
-        yield _record(spread, spread, np.full(len(start), 2), key[start], at[start], at[end] - at[start] + 1)
+        yield _record(spread, spread, key[start], at[start], at[end] - at[start] + 1)
 
 
 def _windower(window: int, bits: int, shared):
@@ -158,11 +158,10 @@ def remove_repeats(
     del merged
     candidates = rows.select("row_key", "text").mapInArrow(_windower(window, bits, shared), _WINDOWS)
     same = Window.partitionBy("h1", "h2")
-    repeated = candidates.withColumn("n", F.sum("n").over(same)).where("n > 1 and row_key is not null")
+    often = F.sum(F.when(F.col("length") < 0, 1).otherwise(2)).over(same)
+    repeated = candidates.withColumn("often", often).where("often > 1 and row_key is not null")
     # Equal rows share a key and have the same runs, so these may hold a run twice.
-    runs = repeated.groupBy("row_key").agg(F.collect_set(F.struct("at", "length")).alias("runs"))
-    runs = stored(runs, "repeated-runs")
-    shared.unpersist()
+    runs = repeated.groupBy("row_key").agg(F.collect_set(F.struct("at", F.abs("length").alias("length"))).alias("runs"))
     joined = rows.join(runs, "row_key", "left").select("row_id", "text", "runs")
     kept = joined.mapInArrow(_cutter(window), "row_id long, n_words long, n_removed long, kept_text string")
     return kept.withColumnRenamed("row_id", id_column)
