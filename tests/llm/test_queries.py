@@ -1,0 +1,110 @@
+"""The registered queries against their SQL, and the pipeline against brute force."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from tripflow.llm import mixing, pii, quality_rules
+from tripflow.llm.registry import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    return con
+
+
+def test_all_are_registered():
+    import __spark_entry__
+
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert {re.match(r"op(\d+)_|pipeline", n)[0] for n in QUERIES} == {f"op{i}_" for i in range(1, 11)} | {"pipeline"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_agrees_with_its_sql(spark, con, name):
+    found = QUERIES[name](spark, SF)
+    columns = sorted(found.columns)
+    expected = con.execute(ORACLES[name])
+    order = [[d[0] for d in expected.description].index(c) for c in columns]
+    assert sorted(d[0] for d in expected.description) == columns
+    assert Counter(tuple(r[c] for c in columns) for r in found.collect()) == Counter(tuple(r[i] for i in order) for r in expected.fetchall())
+
+
+def test_personal_data_query_against_the_expressions(spark):
+    from tests_llm_brute import brute_pii
+
+    rows = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in QUERIES["op5_pii"](spark, SF).collect():
+        base = brute_pii(rows[r["doc_id"]])
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(x[0] == k for x in base) for k in pii.KINDS]
+        listed = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        import hashlib
+
+        assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        assert set(listed.split(",")) <= set(r["spans"].split(","))
+
+
+def test_page_text_query_holds_the_articles(spark):
+    """The pages have one article each, of headings and paragraphs."""
+    import html
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    for r in QUERIES["op9_html_text"](spark, SF).collect():
+        article = re.search(r"<article>(.*?)(</article>|$)", pages[r["page_id"]], re.DOTALL)[1]
+        text = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)>", " ", article))
+        assert r["text"] == " ".join(html.unescape(text).split())
+        assert r["n_chars"] == len(r["text"])
+
+
+def stages(spark, docs):
+    out = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(stage(spark, out[-1], SF).cache())
+    return out
+
+
+def test_pipeline_stage_by_stage(spark, con):
+    """Each stage on what the one before kept, by brute force over that."""
+    from tests_llm_brute import brute_classes, brute_contamination, brute_pii
+
+    docs, good, single, clean, redacted, mixed = stages(spark, spark.read.parquet(f"{SF}/documents.parquet"))
+    for frame in (good, single, clean, redacted):
+        assert frame.columns == list(corpus_pipeline.COLUMNS)
+    kept = {r["doc_id"] for r in quality_rules.judge(docs).where("quality.kept").collect()}
+    rows = {r["doc_id"]: tuple(r) for r in docs.collect()}
+    assert Counter(map(tuple, good.collect())) == Counter(rows[i] for i in kept)
+    classes = brute_classes([(i, rows[i][1]) for i in sorted(kept)])
+    firsts = {i for i, _, c in classes if i == c}
+    assert Counter(map(tuple, single.collect())) == Counter(rows[i] for i in firsts)
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    bad = {i for i, _, _, _, hit in brute_contamination([(i, rows[i][1]) for i in sorted(firsts)], items) if hit}
+    assert Counter(map(tuple, clean.collect())) == Counter(rows[i] for i in firsts - bad)
+    for r in redacted.collect():
+        text = rows[r["doc_id"]][1]
+        spans = [{"kind": k, "start": s, "end": e} for k, s, e in brute_pii(text)]
+        assert r["text"] == pii.redact(text, spans) and r["n_chars"] == len(r["text"])
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(redacted)[0].collect()}
+    assert {r["doc_id"]: r["taken"] for r in mixed.collect()} == taken and mixed.count() == redacted.count()
+
+
+def test_pipeline_with_odd_rows(spark):
+    from tests_llm_brute import odd_documents
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row_key string, quality int, count int"
+    docs = spark.createDataFrame([(*r[:5], "clash", 1, 2) for r in odd_documents()], schema)
+    found = stages(spark, docs)
+    assert found[-1].count() == found[-2].count()
+    ids = [r["doc_id"] for r in found[2].collect() if r["doc_id"] is not None]
+    assert len(ids) == len(set(ids))
+    assert stages(spark, docs.limit(0))[-1].collect() == []
