@@ -7,13 +7,17 @@ from pyspark.sql import Column, functions as F
 from tripflow.settings import HIGH_RISK, MEDIUM_RISK
 
 
+_EXACT = "decimal(28,6)"
+
+
 def money_sum(value: Column) -> Column:
-    """Sum with NULL as zero, rounded to millionths so task order cannot show."""
-    return F.round(F.sum(F.coalesce(value, F.lit(0.0))), 6)
+    """Sum with NULL as zero. Millionths are added as decimals, so task order cannot show."""
+    return F.sum(F.coalesce(value, F.lit(0.0)).cast(_EXACT)).cast("double")
 
 
 def mean(value: Column) -> Column:
-    return F.round(F.avg(value), 6)
+    """Mean of the values that are not NULL, over an exact sum."""
+    return F.round(F.sum(value.cast(_EXACT)).cast("double") / F.count(value), 6)
 
 
 def two_places(value: Column) -> Column:

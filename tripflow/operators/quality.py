@@ -72,9 +72,16 @@ class QualityFailure(RuntimeError):
 
 
 def require_pass(results: DataFrame) -> None:
-    failing = results.filter(F.col("status") == "failed").limit(20).collect()
+    """Raise with every failing rule and its violations; there are as many lines as rules."""
+    failing = (
+        results.filter(F.col("status") == "failed")
+        .groupBy("rule_id")
+        .agg(F.sum("violation_count").alias("violations"))
+        .orderBy("rule_id")
+        .collect()
+    )
     if failing:
-        raise QualityFailure(", ".join(f"{r['rule_id']}={r['violation_count']}" for r in failing))
+        raise QualityFailure(", ".join(f"{r['rule_id']}={r['violations']}" for r in failing))
 
 
 def pass_rate_by(results: DataFrame, key: str, threshold: float) -> DataFrame:

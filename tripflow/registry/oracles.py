@@ -27,7 +27,7 @@ def _with(needs: str, final: str) -> str:
 
 
 def money(column: str) -> str:
-    return f"round(sum(coalesce({column}, 0.0)), 6) + 0.0"
+    return f"cast(sum(cast(coalesce({column}, 0.0) as decimal(28,6))) as double)"
 
 
 def two(column: str) -> str:
@@ -118,7 +118,7 @@ MEASURES = f"""
   {money('fare_total')} as gross_fare_total,
   {money('platform_fee')} as platform_fee_total,
   {money('driver_payout')} as driver_payout_total,
-  round(avg(coalesce(surge_multiplier, 1.0)), 6) as avg_surge_multiplier
+  round(sum(cast(coalesce(surge_multiplier, 1.0) as decimal(28,6)))::double / count(*), 6) as avg_surge_multiplier
 """
 _relation("mart", "stg", f"select event_date, city_id, {MEASURES} from stg group by 1, 2")
 HOURLY = f"""
@@ -372,7 +372,7 @@ _oracle(
        {money("case when event_type = 'trip_completed' then fare_total end")} as gross_fare_total,
        {money("case when event_type = 'trip_completed' then platform_fee end")} as platform_fee_total,
        {money("case when event_type = 'trip_completed' then driver_payout end")} as driver_payout_total,
-       round(avg(coalesce(surge_multiplier, 1.0)), 6) as avg_surge_multiplier
+       round(sum(cast(coalesce(surge_multiplier, 1.0) as decimal(28,6)))::double / count(*), 6) as avg_surge_multiplier
        from stg group by 1, 2""",
 )
 
@@ -793,11 +793,11 @@ _oracle(
 _oracle(
     "rules_alignment", "nyc chicago",
     """, trips as (select * from nyc union all select * from chicago)
-       select 'AR001' as rule_id, count(*) filter (where not event_time between pickup_ts and dropoff_ts) as violations from trips
+       select 'AR001' as rule_id, count(*) filter (where not coalesce(event_time between pickup_ts and dropoff_ts, false)) as violations from trips
        union all select 'AR002', count(*) filter (where distance_km < 0 or duration_sec < 0) from trips
        union all select 'AR003', count(*) filter
          (where abs(fare_total - (platform_fee + driver_payout + promotion_amount)) > 0.01) from trips
-       union all select 'AR004', count(*) filter (where city_id not in ('NYC', 'CHICAGO')) from trips
+       union all select 'AR004', count(*) filter (where not coalesce(city_id in ('NYC', 'CHICAGO'), false)) from trips
        union all select 'AR005', cast(coalesce(sum(c), 0) as bigint)
          from (select count(*) as c from trips group by event_id having count(*) > 1)""",
 )
@@ -810,19 +810,27 @@ _oracle(
 )
 _oracle(
     "kpi_extended_daily", "stg",
-    """, trips as (
-         select event_date, city_id, trip_id,
-           count(*) filter (where event_type = 'ride_requested') as requests,
-           count(*) filter (where event_type = 'trip_completed') as completed,
-           min(case when event_type = 'ride_requested' then event_time end) as asked,
+    """, counts as (
+         select event_date, city_id, count(*) filter (where event_type = 'ride_requested') as total_requests,
+           count(*) filter (where event_type = 'trip_completed') as completed_trips
+         from stg group by all),
+       firsts as (
+         select trip_id, min(case when event_type = 'ride_requested' then event_time end) as asked,
            min(case when event_type = 'support_ticket_created' then event_time end) as arrived
-         from stg group by all)
-       select event_date, city_id, cast(sum(requests) as bigint) as total_requests,
-         cast(sum(completed) as bigint) as completed_trips,
-         round(sum(completed)::double / nullif(sum(requests), 0)::double, 6) as completion_rate,
-         round(avg(case when trip_id is not null and arrived >= asked
-           then (epoch_us(arrived) - epoch_us(asked)) / 60000000.0::double end), 6) as avg_wait_minutes
-       from trips group by 1, 2""",
+         from stg where trip_id is not null group by 1),
+       waits as (
+         select s.event_date, s.city_id, f.trip_id, any_value(epoch_us(arrived) - epoch_us(asked)) as w
+         from firsts f join (select trip_id, event_time, min((event_date, city_id)) as k from stg
+             where event_type = 'ride_requested' group by 1, 2) r on r.trip_id = f.trip_id and r.event_time = f.asked
+           join stg s on s.trip_id = f.trip_id and s.event_time = f.asked and s.event_type = 'ride_requested'
+             and (s.event_date, s.city_id) is not distinct from r.k
+         where arrived >= asked group by 1, 2, 3),
+       means as (select event_date, city_id, sum(w)::double / 60000000.0::double / count(*) as m from waits group by 1, 2)
+       select c.event_date, c.city_id, total_requests, completed_trips,
+         round(completed_trips::double / nullif(total_requests, 0)::double, 6) as completion_rate,
+         round(m, 6) as avg_wait_minutes
+       from counts c left join means m on c.event_date is not distinct from m.event_date
+         and c.city_id is not distinct from m.city_id""",
 )
 _oracle(
     "kpi_catalogue", "stg",

@@ -1,30 +1,35 @@
-"""History older than the stream's watermark, written to the silver layout directly."""
+"""History older than the stream's watermark, laid beside the streamed silver events."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripflow import schemas
 from tripflow.operators.conform import conform
+from tripflow.operators.dedup import keep_last
 from tripflow.operators.validity import valid_rows
 from tripflow.session import fresh_dir
+from tripflow.sources.lake import BACKFILLED, read_silver
 
 PARTITIONS = ["event_date", "city_id"]
 
 
-def backfill_silver(spark: SparkSession, history: DataFrame, silver_path: str) -> int:
-    """Append the usable events silver does not hold yet; returns how many.
+def backfill_silver(spark: SparkSession, history: DataFrame, silver_root: str) -> int:
+    """Append the usable events that silver does not hold yet; returns how many.
 
-    Only the days the history covers are read back for comparison.
+    Readers of a streamed folder see only files that its commit log names, so the events go to a
+    folder of their own, which ``read_silver`` adds. Only the days the history covers are read back
+    for comparison. Of several copies the one ingested last stays.
     """
-    usable = conform(valid_rows(history), schemas.SILVER).dropDuplicates(["event_id"])
+    usable = conform(valid_rows(history), schemas.SILVER)
+    marked = usable.withColumn("_copy", F.xxhash64(*usable.columns))
+    latest = keep_last(marked, ["event_id"], ["ingestion_time", "_copy"]).drop("_copy")
     staged_path = fresh_dir(spark, "backfill")
-    silver = spark.read.schema(schemas.SILVER).parquet(silver_path)
     days = usable.select("event_date").distinct()
-    known = silver.join(days, "event_date", "left_semi").select("event_id")
-    usable.join(known, "event_id", "left_anti").write.parquet(staged_path)
+    known = read_silver(spark, silver_root).join(days, "event_date", "left_semi").select("event_id")
+    latest.join(known, "event_id", "left_anti").write.parquet(staged_path)
     fresh = spark.read.schema(schemas.SILVER).parquet(staged_path)
     fresh.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(
-        silver_path
+        f"{silver_root}/{BACKFILLED}"
     )
     return fresh.count()

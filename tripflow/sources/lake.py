@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tripflow import schemas
 
+# A streamed folder shows its readers only what its own commit log names, so history that a batch
+# job adds needs a folder of its own.
+BACKFILLED = "backfilled_events"
+
 
 def stream_bronze(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
     """All entities below the root; the ingest-date folders are not columns here."""
@@ -23,12 +28,21 @@ def stream_silver(spark: SparkSession, root: str, max_files: int | None = None)
     return reader.parquet(root)
 
 
-def read_layer(
-    spark: SparkSession, path: str, schema: StructType, max_rows: int = 0
-) -> DataFrame:
-    """Batch scan of a layer; ``max_rows`` of zero means all."""
-    frame = spark.read.schema(schema).parquet(path)
-    return frame.limit(max_rows) if max_rows > 0 else frame
+def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Batch scan of a whole layer."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
+    """Canonical events of the stream and those filled in later, which lie beside them."""
+    streamed = read_layer(spark, f"{silver_root}/canonical_events", schemas.SILVER)
+    try:
+        filled = read_layer(spark, f"{silver_root}/{BACKFILLED}", schemas.SILVER)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return streamed
+    return streamed.unionByName(filled)
 
 
 def read_source_file(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

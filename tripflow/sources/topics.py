@@ -53,9 +53,8 @@ def read_topic(
     topic: str,
     kafka: dict | None = None,
     files: str | None = None,
-    max_records: int | None = None,
 ) -> DataFrame:
-    """Everything the topic holds now; with ``max_records`` the earliest of it."""
+    """Everything the topic holds now."""
     if files is None:
         options = _kafka_options(topic, kafka or DEFAULT_KAFKA)
         options.update({"startingOffsets": "earliest", "endingOffsets": "latest"})
@@ -63,6 +62,4 @@ def read_topic(
     else:
         batch = spark.read.schema(schemas.FILE_ENVELOPE).parquet(_topic_folder(files, topic))
         batch = batch.withColumn("topic", F.lit(topic))
-    if max_records is not None:
-        batch = batch.orderBy("timestamp", "partition", "offset").limit(max_records)
     return batch
