@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracles import compare, connect
+from tripflow.registry.oracles import ORACLES
+from tripflow.registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,18 +15,13 @@ def db():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, db, name):
     assert compare(spark, db, SF_DIR, name) is None
 
 
-def test_every_oracle_belongs_to_a_query():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-
-
-def test_only_model_queries_go_without_sql():
-    without = set(entry.queries()) - set(entry.oracle_sql())
-    assert all(name.startswith(("train_", "score_")) for name in without)
+def test_every_query_has_sql_and_every_sql_a_query():
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry_returns_rows(spark):

@@ -2,13 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from tripflow.operators.dedup import keep_last
+from tripflow.registry.queries import QUERIES
 from tripflow.sources import tables
 from tripflow.sources.warehouse import lazy_staging
 
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = sorted(n for n in entry.queries() if not n.startswith(("train_", "score_")))
+NAMES = sorted(n for n in QUERIES if not n.startswith(("train_", "score_")))
 
 
 @pytest.fixture(autouse=True)
@@ -27,7 +27,7 @@ def plan_of(frame) -> str:
 
 @pytest.mark.parametrize("name", NAMES)
 def test_no_product_no_python_rows_no_window_in_one_task(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert word not in plan, plan
     # A window right above a single-partition exchange would have no partition columns.
@@ -38,12 +38,12 @@ def test_no_product_no_python_rows_no_window_in_one_task(spark, name):
 
 
 def test_last_day_reads_one_partition(spark):
-    plan = plan_of(entry.queries()["serve_latest_trips"](spark, SF_DIR))
+    plan = plan_of(QUERIES["serve_latest_trips"](spark, SF_DIR))
     assert "PartitionFilters: [isnotnull(event_date" in plan and "Subquery" in plan
 
 
 def test_kpis_read_only_their_columns(spark):
-    plan = plan_of(entry.queries()["mart_city_daily_kpis"](spark, SF_DIR))
+    plan = plan_of(QUERIES["mart_city_daily_kpis"](spark, SF_DIR))
     schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
     assert {c.split(":")[0] for c in schema.split(",")} == {
         "event_type", "fare_total", "surge_multiplier", "platform_fee", "driver_payout",
@@ -68,7 +68,7 @@ def test_deduplication_limits_before_the_shuffle(spark):
 
 
 def test_top_k_does_not_sort_everything(spark):
-    assert "TakeOrderedAndProject" in plan_of(entry.queries()["serve_city_daily"](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan_of(QUERIES["serve_city_daily"](spark, SF_DIR))
 
 
 def test_keep_last_needs_one_shuffle(spark):

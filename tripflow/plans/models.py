@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tripflow.settings import MODEL_FEATURES
 
@@ -73,13 +73,11 @@ def _estimator(name: str, spec: ModelSpec, trees: int, depth: int) -> Pipeline:
     )
 
 
-def trainable(frame: DataFrame, name: str) -> str | None:
+def _why_not(found: Row, spec: ModelSpec) -> str | None:
     """Why a model cannot be trained on these rows, or None. Skipping counts as success."""
-    spec = MODELS[name]
-    labels = frame.filter(F.col(spec.target).isNotNull()).select(spec.target)
-    if labels.isEmpty():
+    if not found["rows"]:
         return "no training data"
-    if spec.classifier and labels.distinct().limit(2).count() < 2:
+    if spec.classifier and found["least"] == found["most"]:
         return "insufficient class diversity"
     return None
 
@@ -87,19 +85,33 @@ def trainable(frame: DataFrame, name: str) -> str | None:
 def train(
     frame: DataFrame, name: str, trees: int = TREES, depth: int = 5
 ) -> tuple[PipelineModel | None, dict]:
-    """Fit on the train share, measure on the test share."""
+    """Fit on the train share, measure on the test share.
+
+    The outcome counts rows of both shares and positive labels; the metric is in its band if an AUC
+    lies between 0 and 1, or a mean error between 0 and the range of the labels.
+    """
     spec = MODELS[name]
-    labelled = frame.filter(F.col(spec.target).isNotNull())
-    note = trainable(labelled, name)
-    if note:
-        return None, {"model_name": name, "status": "success", "note": note}
-    rows = labelled.select(
-        *feature_inputs(labelled, name),
+    rows = frame.filter(F.col(spec.target).isNotNull()).select(
+        *feature_inputs(frame, name),
         F.col(spec.target).cast("double").alias("label"),
         in_test_share(*spec.key).alias("_test"),
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # The features feed several passes; a lost block is computed again from the tables.
+        found = rows.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if("_test").alias("test_rows"),
+            F.count_if(F.col("label") > 0).alias("positive_rows"),
+            F.min("label").alias("least"),
+            F.max("label").alias("most"),
+        ).first()
+        outcome = {
+            "model_name": name, "status": "success", "train_rows": found["rows"] - found["test_rows"],
+            "test_rows": found["test_rows"], "positive_rows": found["positive_rows"],
+        }
+        note = _why_not(found, spec)
+        if note:
+            return None, outcome | {"note": note}
         model = _estimator(name, spec, trees, depth).fit(rows.filter(~F.col("_test")))
         scored = model.transform(rows.filter("_test"))
         if spec.classifier:
@@ -108,8 +120,9 @@ def train(
             value = RegressionEvaluator(metricName="mae").evaluate(scored)
     finally:
         rows.unpersist()
-    return model, {
-        "model_name": name, "status": "success", "metric_name": spec.metric, "metric_value": value,
+    most = 1.0 if spec.classifier else found["most"] - found["least"]
+    return model, outcome | {
+        "metric_name": spec.metric, "metric_value": value, "metric_in_band": 0 <= value <= most,
     }
 
 

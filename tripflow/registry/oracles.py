@@ -977,6 +977,29 @@ _oracle(
        from churn group by 1""",
 )
 
+
+def _model_oracle(name: str, needs: str, rows: str, target: str, key: tuple[str, ...], classifier: bool) -> None:
+    text = " || '|' || ".join(f"coalesce(cast({c} as varchar), '')" for c in key)
+    enough = "count(*) > 0" + (f" and count(distinct {target}) > 1" if classifier else "")
+    test = f"cast('0x' || substr(md5({text}), 1, 8) as bigint) % 5 = 0"
+    _oracle(
+        f"train_{name}", needs,
+        f"""select '{name}' as model_name, 'success' as status,
+             count(*) filter (where not {test}) as train_rows, count(*) filter (where {test}) as test_rows,
+             count(*) filter (where {target} > 0) as positive_rows, case when {enough} then true end as metric_in_band
+           from ({rows}) where {target} is not null""",
+    )
+    _oracle(f"score_{name}", needs, f"select {', '.join(key)}, true as in_range from ({rows})")
+
+
+_FRAUD_ROWS = """select f.fraud_fact_key, case when f.risk_band = 'high' then 1 else 0 end as is_high_risk
+    from fact_fraud f left join fact_trip t on t.trip_id = f.trip_id"""
+_DAY_AND_CITY = ("event_date", "city_id")
+_model_oracle("demand_model", "mart", "select * from mart", "completed_trips", _DAY_AND_CITY, False)
+_model_oracle("surge_model", "mart", "select * from mart", "avg_surge_multiplier", _DAY_AND_CITY, False)
+_model_oracle("fraud_model", "fact_fraud fact_trip", _FRAUD_ROWS, "is_high_risk", ("fraud_fact_key",), True)
+_model_oracle("churn_model", "churn", "select * from churn", "churned_7d", ("rider_key", "activity_date"), True)
+
 # Documents and retrieval -----------------------------------------------------
 
 # White space as Unicode has it, spelled out because \s covers ASCII only here.

@@ -715,18 +715,31 @@ _FEATURES = {
 }
 
 
+_OUTCOME = (
+    "model_name string, status string, train_rows bigint, test_rows bigint, positive_rows bigint, metric_in_band boolean"
+)
+
+
 def _register_model(name: str) -> None:
+    """Training and scoring, as far as they don't depend on the forest's random choices."""
+    spec = models.MODELS[name]
+
     def train(spark, sf_dir):
         _, outcome = models.train(_FEATURES[name](spark, sf_dir), name)
-        return spark.createDataFrame(
-            [(name, outcome["status"], outcome.get("metric_name"), outcome.get("metric_value"), outcome.get("note"))],
-            "model_name string, status string, metric_name string, metric_value double, note string",
-        )
+        columns = [c.split()[0] for c in _OUTCOME.split(", ")]
+        return spark.createDataFrame([tuple(outcome.get(c) for c in columns)], _OUTCOME)
 
     def score(spark, sf_dir):
         frame = _FEATURES[name](spark, sf_dir)
-        model, _ = models.train(frame, name, trees=20)
-        return models.score(model, frame, name)
+        model, outcome = models.train(frame, name, trees=20)
+        if model is None:
+            raise ValueError(f"{name}: {outcome['note']}")
+        scored = models.score(model, frame, name)
+        if spec.classifier:
+            fits = F.col("prediction").isin(0, 1) & F.col("probability").between(0, 1)
+        else:
+            fits = (F.col("prediction") >= 0) & ~F.isnan("prediction")
+        return scored.select(*spec.key, fits.alias("in_range"))
 
     QUERIES[f"train_{name}"] = train
     QUERIES[f"score_{name}"] = score
