@@ -27,12 +27,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates: the one with the smallest id, and of rows that
     repeat it one. Documents without words or id are groups of their own."""
     classes = ngram_join.ngram_classes(docs)
-    gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
+    gone = stored(classes.where("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
     kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
     # Copies of one row under one id are left over; a window would gather them, an aggregate doesn't.
-    repeated = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count()
+    if (ids.agg(F.max("count")).first()[0] or 0) < 2:
         return kept
+    repeated = stored(ids.where("count > 1").select("doc_id"), "repeated-ids")
     single = kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS)
     one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row"))
     return single.union(one.select("doc_id", "row.*").select(*COLUMNS))

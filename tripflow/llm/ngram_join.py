@@ -220,12 +220,13 @@ def ngram_classes(
     shared.unpersist()
     matrix = _matrix(rows, similarity)
     entries = stored(_leading(matrix, similarity), "ngram-leading").withColumn("c", F.col("r"))
-    links = labels = None
+    labels = None
     for turn in range(CENTRAL_ROUNDS + 1):
         pairs = _central_pairs(entries, similarity, turn) if turn < CENTRAL_ROUNDS else _all_pairs(entries, similarity)
         found = stored(_links(matrix, pairs, similarity), "ngram-links")
         if labels is None or not found.isEmpty():
-            links = found if links is None else links.union(found)
+            # Components so far stand for the links they came from.
+            links = found if labels is None else found.union(labels.where("r <> c"))
             labels = stored(components(links).select(F.col("node").alias("r"), F.col("component").alias("c")), "ngram-labels")
             entries = stored(_unfinished(_labelled(entries, labels)), "ngram-open")
     # Equal sets are one class: named through their sums, then through the links of their row.
