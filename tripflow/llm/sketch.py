@@ -106,7 +106,8 @@ def merge(sketches: DataFrame, bits: int) -> list[bytes]:
             piece = zstandard.compress(np.packbits(two).tobytes(), 1)
             yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([piece], pa.binary())], names=["range", "bits"])
 
-    rows = sketches.repartition(RANGES, F.col("range")).mapInArrow(merged, "range int, bits binary").toLocalIterator()
+    # One job, so that ranges are merged side by side.
+    rows = sketches.repartition(RANGES, F.col("range")).mapInArrow(merged, "range int, bits binary").collect()
     pieces = [b""] * RANGES
     for row in rows:
         pieces[row["range"]] = bytes(row["bits"])
