@@ -34,7 +34,8 @@ def test_jobs_from_topics_to_answers(spark, root, capsys):
 
     stream = ["--bounded", "--checkpoint-root"]
     assert run("bronze", "--bronze-root", f"{lake}/bronze", "--files", f"{root}/topics", *stream, f"{lake}/marks/b")["topics"] == 15
-    run("silver", "--bronze-root", f"{lake}/bronze", "--silver-root", f"{lake}/silver", *stream, f"{lake}/marks/s")
+    run("silver", "--bronze-root", f"{lake}/bronze", "--silver-root", f"{lake}/silver", *stream, f"{lake}/marks/s", "--state-partitions", "3")
+    assert len([p for p in Path(f"{lake}/marks/s/canonical_events/state/0").iterdir() if p.name.isdigit()]) == 3
     run("gold", "--silver-root", f"{lake}/silver", "--gold-root", f"{lake}/gold", *stream, f"{lake}/marks/g")
     run("staging", "--silver-root", f"{lake}/silver", "--warehouse", house)
     run("models", "--warehouse", house)
@@ -49,6 +50,16 @@ def test_jobs_from_topics_to_answers(spark, root, capsys):
     run("stores", "--warehouse", house)
     run("stores", "--warehouse", house)
     run("inventory", "--warehouse", house, "--output", f"{root}/inventory")
+    listed = {r["relation"]: r for r in spark.read.option("header", "true").csv(f"{root}/inventory").collect()}
+    stores = [f"store_{name}" for name in jobs.STORES]
+    assert {"staging", "fact_trip", "feature_fraud_trip", "scores_demand_model", "run_log", *stores} <= set(listed)
+    assert "document_index" not in listed and "scores_fraud_model" not in listed
+    for name in stores:
+        # Written twice; only the version in use counts.
+        table_ = jobs.Warehouse(spark, house).snapshot(name)
+        assert len([p for p in Path(table_.root).iterdir() if p.name.startswith("v-")]) == 2
+        held = sum(p.stat().st_size for p in Path(table_.path).glob("**/*.parquet"))
+        assert int(listed[name]["size_bytes"]) == held
 
     corpus = [("faq", "faq", "faq", "NYC", "d1", "how do refunds work"), ("faq", "faq", "faq", "SF", "d2", "surge pricing explained"), ("faq", "faq", "faq", "SF", "d3", "")]
     spark.createDataFrame(corpus, "source_id string, target_table string, source_type string, city_id string, doc_id string, text string").write.parquet(f"{root}/corpus")

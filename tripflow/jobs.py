@@ -27,7 +27,7 @@ from tripflow.session import build_session
 from tripflow.sinks.backfill import backfill_silver
 from tripflow.sinks.incremental import IncrementalFact
 from tripflow.sinks.report import inventory, write_csv
-from tripflow.sinks.snapshots import SnapshotTable
+from tripflow.sinks.snapshots import SnapshotTable, folder_exists
 from tripflow.sources.corpus import with_document_ids
 from tripflow.sources.lake import read_layer, read_silver, read_source_file
 from tripflow.streaming import bronze, gold as gold_stream, silver
@@ -69,6 +69,24 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.fact(name).read() if name in facts.FACTS else self.snapshot(name).read()
 
+    def relations(self) -> tuple[dict[str, DataFrame], dict[str, str]]:
+        """What has been written, by name: frames, and the folders of their current content."""
+        snapshots = [
+            "staging", *DIMENSIONS, *dict.fromkeys(FEATURES_OF.values()),
+            *(f"scores_{name}" for name in models.MODELS), *(f"store_{name}" for name in STORES),
+            "document_index",
+        ]
+        paths = {n: self.snapshot(n).path for n in snapshots if self.snapshot(n).exists()}
+        frames = {name: self.read(name) for name in paths}
+        for name in facts.FACTS:
+            if self.fact(name).loaded():
+                frames[name], paths[name] = self.read(name), self.fact(name).path
+        for name, schema in (("run_log", schemas.RUN_EVENT), ("quality_log", schemas.QUALITY_RESULT)):
+            path = f"{self.root}/{name}"
+            if folder_exists(self.spark, path):
+                frames[name], paths[name] = self.spark.read.schema(schema).parquet(path), path
+        return frames, paths
+
     def mart(self) -> DataFrame:
         """A view: computed from staging whenever it is read."""
         return gold.city_daily_kpis(self.read("staging"))
@@ -101,7 +119,7 @@ def run_silver(spark, args) -> dict:
     await_all(
         silver.start(
             spark, args.bronze_root, args.silver_root, args.checkpoint_root, args.bounded,
-            args.watermark, args.max_files,
+            args.watermark, args.max_files, state_partitions=args.state_partitions,
         )
     )
     return {}
@@ -109,7 +127,8 @@ def run_silver(spark, args) -> dict:
 
 def run_gold(spark, args) -> dict:
     query = gold_stream.start(
-        spark, args.silver_root, args.gold_root, args.checkpoint_root, args.bounded, args.max_files
+        spark, args.silver_root, args.gold_root, args.checkpoint_root, args.bounded, args.max_files,
+        args.state_partitions,
     )
     await_all([query])
     return {}
@@ -224,8 +243,11 @@ def run_quality(spark, args) -> dict:
 
 def run_index(spark, args) -> dict:
     corpus = with_document_ids(read_layer(spark, args.input, schemas.CORPUS))
-    vectors = embeddings.hash_vectors(corpus, "id", "text")
     index = Warehouse(spark, args.warehouse).snapshot("document_index")
+    if index.exists():
+        # Only new documents are hashed.
+        corpus = corpus.join(index.read().select("id"), "id", "left_anti")
+    vectors = embeddings.hash_vectors(corpus, "id", "text")
     index.insert_absent(corpus.join(vectors, "id"), ["id"])
     return {"indexed_docs_total": index.read().count()}
 
@@ -237,23 +259,16 @@ def run_ask(spark, args) -> dict:
     index = retrieval.only_scope(warehouse.read("document_index"), args.city_id)
     asked = embeddings.hash_vectors(questions, "question_id", "question")
     hits = retrieval.nearest(index.select("id", "vector"), asked, "id", "question_id", args.top_k)
-    full = retrieval.with_properties(
-        hits, index.drop("vector"), "id", questions.count() * args.top_k
-    )
+    full = retrieval.with_properties(hits, index.drop("vector"), "id")
     retrieval.answers(questions, full).write.mode("overwrite").json(args.output)
     return {"top_k": args.top_k}
 
 
 def run_inventory(spark, args) -> dict:
     warehouse = Warehouse(spark, args.warehouse)
-    names = ["staging", *DIMENSIONS, *facts.FACTS]
-    frames = {name: warehouse.read(name) for name in names}
-    paths = {
-        name: warehouse.fact(name).path if name in facts.FACTS else f"{warehouse.root}/{name}"
-        for name in names
-    }
+    frames, paths = warehouse.relations()
     write_csv(inventory(spark, frames, paths), args.output)
-    return {"relations": len(names)}
+    return {"relations": len(frames)}
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -271,6 +286,11 @@ def _parser() -> argparse.ArgumentParser:
         sub = job(name, run, *options, "checkpoint-root")
         sub.add_argument("--bounded", action="store_true", help="work off what is there, then stop")
         sub.add_argument("--max-files", type=int, help="files per micro-batch")
+        if name != "bronze":
+            sub.add_argument(
+                "--state-partitions", type=int,
+                help="width of the state, for life; by default the cores registered at the first start",
+            )
         return sub
 
     one = stream("bronze", run_bronze, "bronze-root")

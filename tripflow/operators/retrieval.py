@@ -15,8 +15,6 @@ from tripflow.settings import DEFAULT_TOP_K, EMBEDDING_DIM
 BLOCK_BYTES = 64 * 1024 * 1024
 MAX_TOP_K = 20
 QUESTIONS_AT_ONCE = 256
-# Up to this many hits are sent to the documents; beyond it the join is left to the optimizer.
-HITS_TO_SEND = 500_000
 
 
 def _vector_type(key: str, frame: DataFrame) -> T.DataType:
@@ -173,16 +171,9 @@ def only_scope(documents: DataFrame, city_id: str | None = None, source_type: st
     return rows
 
 
-def with_properties(
-    hits: DataFrame, documents: DataFrame, doc: str, most_hits: int | None = None
-) -> DataFrame:
-    """Attach text and metadata to the hits.
-
-    ``most_hits`` is the caller's bound, questions times k. Within the limit the
-    hits go to the documents, whose texts then stay where they are.
-    """
-    if most_hits is not None and most_hits <= HITS_TO_SEND:
-        return documents.join(F.broadcast(hits), doc)
+def with_properties(hits: DataFrame, documents: DataFrame, doc: str) -> DataFrame:
+    """Attach text and metadata to the hits. Their size in bytes is known once they are ranked, and
+    decides at run time whether they go to the documents or both sides are shuffled."""
     return documents.join(hits, doc)
 
 

@@ -10,6 +10,11 @@ from pyspark.sql.types import StructType
 from tripflow.operators.upsert import append_keep_last, insert_if_absent, merge_fields, replace_by_key
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 class SnapshotTable:
     """Parquet folder per version. Readers of the old version are not disturbed by a write.
 
@@ -35,6 +40,11 @@ class SnapshotTable:
         finally:
             stream.close()
 
+    @property
+    def path(self) -> str:
+        """Folder of the current version."""
+        return f"{self.root}/{self.version()}"
+
     def exists(self) -> bool:
         return self.version() is not None
 

@@ -24,6 +24,7 @@ def start(
     checkpoint_root: str,
     bounded: bool = False,
     max_files: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     silver = stream_silver(spark, f"{silver_root}/canonical_events", max_files)
     return append_parquet(
@@ -33,4 +34,5 @@ def start(
         checkpoint=f"{checkpoint_root}/city_hourly_metrics",
         partition_by=PARTITIONS,
         bounded=bounded,
+        state_partitions=state_partitions,
     )

@@ -33,6 +33,7 @@ def start(
     watermark: str = WATERMARK,
     max_files: int | None = None,
     files_per_partition: int = 8,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     canonical = to_canonical(stream_bronze(spark, bronze_root, max_files))
     usable = usable_events(canonical, watermark)
@@ -44,6 +45,7 @@ def start(
             checkpoint=f"{checkpoint_root}/canonical_events",
             partition_by=PARTITIONS,
             bounded=bounded,
+            state_partitions=state_partitions,
         ),
         append_parquet(
             quarantined_rows(canonical),
