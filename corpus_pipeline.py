@@ -23,28 +23,38 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return quality_rules.judge(docs).where("quality.kept").select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Documents with ``row_key``, which tells rows apart whatever their id: equal only for equal id and text."""
+    return docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row_key"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id, and of rows that
-    repeat it one. Documents without words or id are groups of their own."""
-    classes = ngram_join.ngram_classes(docs)
-    gone = stored(classes.where("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    # Copies of one row under one id are left over; a window would gather them, an aggregate doesn't.
-    ids = docs.where("doc_id is not null").groupBy("doc_id").count()
-    if (ids.agg(F.max("count")).first()[0] or 0) < 2:
-        return kept
-    repeated = stored(ids.where("count > 1").select("doc_id"), "repeated-ids")
-    single = kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS)
-    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row"))
-    return single.union(one.select("doc_id", "row.*").select(*COLUMNS))
+    """One row of each group of near duplicates: the one with the smallest id that is not null. Rows
+    that share an id or have none are rows of their own; rows without words are groups of their own."""
+    keyed = _keyed(docs)
+    classes = ngram_join.ngram_classes(keyed, id_column="row_key").where("n_shingles > 0")
+    classes = classes.groupBy("row_key").agg(F.any_value("component_id").alias("class"))
+    ids = keyed.groupBy("row_key").agg(F.any_value("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    members = stored(ids.join(classes, "row_key"), "near-duplicates")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first")
+    firsts = members.groupBy("class").agg(first).select("first.row_key")
+    gone = stored(members.join(firsts, "row_key", "left_anti").select("row_key"), "near-duplicates-gone")
+    kept = keyed.join(gone, "row_key", "left_anti")
+    # Copies of one text under one id are left over; a window would gather them, an aggregate doesn't.
+    repeated = stored(members.where("copies > 1").join(gone, "row_key", "left_anti").select("row_key"), "repeated-rows")
+    if repeated.isEmpty():
+        return kept.select(*COLUMNS)
+    single = kept.join(repeated, "row_key", "left_anti").select(*COLUMNS)
+    one = kept.join(repeated, "row_key", "left_semi").groupBy("row_key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return single.union(one.select("row.*").select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.where("contaminated").select("doc_id").distinct()
-    known = docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
-    return known
+    """Rows that hold no window of a benchmark item, whatever their id."""
+    keyed = _keyed(docs)
+    found = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), id_column="row_key")
+    bad = found.where("contaminated").select("row_key").distinct()
+    return keyed.join(bad, "row_key", "left_anti").select(*COLUMNS)
 
 
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,8 +67,7 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
     found = pii.find_pii(docs).where(F.size("spans") > 0).select("row_key", "spans").dropDuplicates(["row_key"])
-    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row_key"))
-    joined = keyed.join(found, "row_key", "left").select(*COLUMNS, "spans")
+    joined = _keyed(docs).join(found, "row_key", "left").select(*COLUMNS, "spans")
     schema = ", ".join(f"{n} {t}" for n, t in docs.select(*COLUMNS).dtypes)
     redacted = joined.mapInArrow(_redacted, schema)
     return redacted.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).cast("long"))
