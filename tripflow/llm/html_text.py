@@ -1,8 +1,8 @@
 """Main text of web pages by composite text density.
 
-A page is read into a tree. What is never main text by its element or name (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, comments) is left out as it is met. For every node left
-the link-adjusted characters per tag are computed, and summed over its children. The subtree with
+A page is read into a tree. What isn't main text by its element or name (menus, headers, footers,
+sidebars, notices, adverts, forms, comments) is marked as it is met and left out once the tree is
+whole. For every node left the link-adjusted characters per tag are computed, and summed over its children. The subtree with
 the largest sum is main text; the smallest density on its path to the body is the threshold that
 other subtrees must reach to be main text too.
 """
@@ -36,7 +36,16 @@ _CLOSES_P = frozenset(
     "hgroup hr main menu nav ol p pre section table ul".split()
 )
 _SAME_CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
+_SAME_CLOSES |= dict.fromkeys(("tbody", "thead", "tfoot"), ("table",))
+_SAME_GROUPS = (("dt", "dd"), ("td", "th"), ("tbody", "thead", "tfoot"))
 _KEPT = frozenset(("html", "body", "article", "main"))
+# Never shown as text of the page, whatever they contain.
+_NEVER = frozenset("head select option noscript template iframe object svg math canvas audio video".split())
+# Elements that a head may hold; anything else ends it.
+_IN_HEAD = frozenset("base link meta noscript script style template title noframes".split())
+# What a list item or cell can't close from within.
+_HELD = _DROPPED - {"option"} | {"table", "td", "th"}
+_ENDS_HELD = frozenset("template object svg math".split())
 # Names in class, id or role of what isn't main text.
 _ASIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertise\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|newsletter|subscribe|"
@@ -44,6 +53,7 @@ _ASIDE_NAMES = re.compile(
     r"footer|header|masthead|popup|modal|overlay|login|signup|search|toolbar|pagination|pager|contentinfo|complementary)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+_SHOWN, _BY_NAME, _BY_ELEMENT, _HIDDEN = range(4)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _MARK = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?>[^>"']++|"[^"]*"|'[^']*')*+|[^>]*+)>""", re.DOTALL
@@ -51,65 +61,63 @@ _MARK = re.compile(
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "children", "aside", "home", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, name: str, parent: Node | None):
+    def __init__(self, name: str, parent: Node | None, aside: int = _SHOWN, home: bool = False):
         self.name, self.parent = name, parent
+        # Why it may be left out, and whether the page says that main text lies in it.
+        self.aside, self.home = aside, home
         # Nodes and strings in page order.
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _is_aside(name: str, attributes: str) -> bool:
-    if name in _DROPPED:
-        return True
+def _aside(name: str, attributes: str) -> tuple[int, bool]:
+    """Why an element may be left out, and whether the page says that main text lies in it."""
+    if name in _NEVER:
+        return _HIDDEN, False
+    found = _BY_NAME if name == "form" else _BY_ELEMENT if name in _DROPPED else _SHOWN
+    home = name in ("article", "main")
     if not attributes or name in _KEPT:
-        return False
+        return found, home
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "style":
+            found = max(found, _BY_ELEMENT)
+        elif key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-                return True
+                found = max(found, _BY_ELEMENT)
         elif _ASIDE_NAMES.search(value):
-            return True
-    return False
+            found = max(found, _BY_NAME)
+    return found, home
 
 
 def parse(page: str) -> Node:
-    """Tree of what may be main text. Elements left open end with their parent or the page."""
+    """Tree of the page. Elements left open end with their parent or the page, or with the tag that
+    implies their end, whether they may be left out or not."""
     root = Node("html", None)
     node, at = root, 0
-    # Names of open elements inside one that is dropped.
-    dropped: list[str] = []
-
-    def add(text: str) -> None:
-        if text and not dropped:
-            node.children.append(html.unescape(text))
 
     size = len(page)
     while at < size:
         mark = _MARK.search(page, at)
+        text = page[at : mark.start()] if mark else page[at:]
+        if text:
+            if node.name == "head" and not text.isspace():
+                node = node.parent
+            node.children.append(html.unescape(text))
         if not mark:
-            add(page[at:])
             break
-        add(page[at : mark.start()])
         at = mark.end()
         if mark[2] is None:
             continue
         name, closing = mark[2].lower(), mark[1] == "/"
         if closing:
-            if dropped:
-                if name in dropped:
-                    while dropped.pop() != name:
-                        pass
-                continue
             up = node
             while up is not root and up.name != name:
-                # An inline element can't close what is outside its block.
-                if name in _INLINE and up.name not in _INLINE:
+                # An inline element can't close what is outside its block, and nothing what is outside foreign content.
+                if name in _INLINE and up.name not in _INLINE or up.name in _ENDS_HELD:
                     up = root
                     break
                 up = up.parent
@@ -122,19 +130,15 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.IGNORECASE).search(page, at)
             at = end.end()
             continue
+        if node.name == "head" and name not in _IN_HEAD:
+            node = node.parent
         if name in ("html", "body"):
             continue
         if name in _VOID:
-            if not dropped:
-                node.children.append(Node(name, node))
+            node.children.append(Node(name, node))
             continue
         if mark[3].endswith("/") and name not in _INLINE and name in ("svg", "math"):
             continue
-        if dropped:
-            if name == "p" and dropped[-1] == "p" or name in _SAME_CLOSES and dropped[-1] == name:
-                dropped.pop()
-            dropped.append(name)
-            continue
         if name in _CLOSES_P:
             up = node
             while up is not root and up.name in _INLINE:
@@ -143,20 +147,36 @@ def parse(page: str) -> Node:
                 node = up.parent
         if name in _SAME_CLOSES:
             up, stop = node, _SAME_CLOSES[name]
-            same = (name,) if name not in ("dt", "dd", "td", "th") else (("dt", "dd") if name in ("dt", "dd") else ("td", "th"))
-            while up is not root and up.name not in same and up.name not in stop:
+            same = next((g for g in _SAME_GROUPS if name in g), (name,))
+            # Cells and rows end whatever is left open in them but a table; items don't end what holds them.
+            held = () if "table" in stop else _HELD
+            while up is not root and up.name not in same and up.name not in stop and up.name not in held:
                 up = up.parent
             if up.name in same:
                 node = up.parent
-        if _is_aside(name, mark[3]):
-            dropped.append(name)
-            continue
-        child = Node(name, node)
+        child = Node(name, node, *_aside(name, mark[3]))
         node.children.append(child)
         node = child
     return root
 
 
+def _cut(root: Node, least: int) -> bool:
+    """Leaves out what is marked so or higher; whether anything marked is left."""
+    left, stack = False, [root]
+    while stack:
+        node = stack.pop()
+        node.children = [c for c in node.children if isinstance(c, str) or c.aside < least]
+        below = [c for c in node.children if isinstance(c, Node)]
+        left = left or any(c.aside for c in below)
+        stack += below
+    return left
+
+
+def leave_out(root: Node) -> None:
+    """Takes out of the tree what isn't main text by its element or name."""
+    _cut(root, _BY_NAME)
+
+
 def _in_order(root: Node) -> list[Node]:
     """Nodes, parents before children."""
     out, stack = [], [root]
@@ -170,6 +190,9 @@ def _in_order(root: Node) -> list[Node]:
 def measure(root: Node) -> list[Node]:
     """Characters, tags and densities of every node; returns the nodes, parents first."""
     nodes = _in_order(root)
+    for node in nodes:
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = node.sum = 0.0
     for node in reversed(nodes):
         own = 0
         for child in node.children:
@@ -247,6 +270,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    leave_out(root)
     chosen = {id(n) for n in main_nodes(root)}
     out: list[str] = []
     block: list[str] = []
