@@ -2,7 +2,7 @@
 
 A page is read into a tree. What isn't main text by its element or name (menus, headers, footers,
 sidebars, notices, adverts, forms, comments) is marked as it is met and left out once the tree is
-whole. For every node left the link-adjusted characters per tag are computed, and summed over its children. The subtree with
+whole, unless the main text proves to lie in it (see ``leave_out``). For every node left the link-adjusted characters per tag are computed, and summed over its children. The subtree with
 the largest sum is main text; the smallest density on its path to the body is the threshold that
 other subtrees must reach to be main text too.
 """
@@ -46,13 +46,20 @@ _IN_HEAD = frozenset("base link meta noscript script style template title nofram
 # What a list item or cell can't close from within.
 _HELD = _DROPPED - {"option"} | {"table", "td", "th"}
 _ENDS_HELD = frozenset("template object svg math".split())
-# Names in class, id or role of what isn't main text.
-_ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertise\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|newsletter|subscribe|"
+# Words of names in class, id or role of what isn't main text.
+_ASIDE_WORD = re.compile(
+    r"ads?|adverts?|advertise\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|newsletter|subscribe|"
     r"sidebar|comments?|commentlist|disqus|respond|share|sharing|social|related|recommend\w*|menu|nav|navbar|navigation|breadcrumbs?|"
-    r"footer|header|masthead|popup|modal|overlay|login|signup|search|toolbar|pagination|pager|contentinfo|complementary)(?:$|[\s_-])",
+    r"footer|header|masthead|popup|modal|overlay|login|signup|search|toolbar|pagination|pager|contentinfo|complementary",
     re.IGNORECASE,
 )
+# Words that may stand beside them: the name is still one of the element itself. Any other word (has,
+# no, with, layout, results, history, work ...) makes it a name of something else.
+_BESIDE = frozenset(
+    "site page global main top bottom primary secondary post posts article articles box bar block area list links link buttons button "
+    "icons icon form widget widgets section panel message dialog unit slot item items".split()
+)
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _SHOWN, _BY_NAME, _BY_ELEMENT, _HIDDEN = range(4)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _MARK = re.compile(
@@ -73,6 +80,16 @@ class Node:
         self.density = self.sum = 0.0
 
 
+def _stands_for_aside(value: str) -> bool:
+    """Whether one of the names in an attribute is that of a menu, sidebar, notice or the like itself."""
+    for name in value.lower().split():
+        words = [w for w in re.split("[_-]", name) if w]
+        asides = [bool(_ASIDE_WORD.fullmatch(w)) for w in words]
+        if any(asides) and all(a or w in _BESIDE for a, w in zip(asides, words, strict=True)):
+            return True
+    return False
+
+
 def _aside(name: str, attributes: str) -> tuple[int, bool]:
     """Why an element may be left out, and whether the page says that main text lies in it."""
     if name in _NEVER:
@@ -88,7 +105,10 @@ def _aside(name: str, attributes: str) -> tuple[int, bool]:
         elif key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
                 found = max(found, _BY_ELEMENT)
-        elif _ASIDE_NAMES.search(value):
+        elif key == "role" and value.lower() in ("main", "article"):
+            home = True
+        # Headings have ids made of their text.
+        elif key in ("class", "id", "role") and not (key == "id" and name in _HEADINGS) and _stands_for_aside(value):
             found = max(found, _BY_NAME)
     return found, home
 
@@ -173,8 +193,38 @@ def _cut(root: Node, least: int) -> bool:
 
 
 def leave_out(root: Node) -> None:
-    """Takes out of the tree what isn't main text by its element or name."""
-    _cut(root, _BY_NAME)
+    """Takes out of the tree what isn't main text by its element or name.
+
+    A guess by name gives way to what the page shows. Marked elements around an article or main
+    element stay if the page has none elsewhere. Those that are marked by name, forms too, also stay
+    if they hold the largest density sum, unless an article or main element stands apart from them.
+    """
+    if not _cut(root, _HIDDEN):
+        return
+    # Parents first, so that each node knows whether it lies in a marked one.
+    homes, free, stack = [], [], [(root, False)]
+    while stack:
+        node, within = stack.pop()
+        within = within or node.aside > _SHOWN
+        if node.home:
+            (homes if within else free).append(node)
+        stack += [(c, within) for c in node.children if isinstance(c, Node)]
+    if not free:
+        seen = set()
+        for node in homes:
+            # Up to where another one has been.
+            while node and id(node) not in seen:
+                seen.add(id(node))
+                node.aside = _SHOWN
+                node = node.parent
+        free = homes
+    if _cut(root, _BY_ELEMENT):
+        best = max(measure(root), key=lambda n: (n.sum, n.density))
+        over = {id(n) for n in _path(best)}
+        if not free or any(id(h) in over for h in free):
+            for node in _path(best):
+                node.aside = _SHOWN
+        _cut(root, _BY_NAME)
 
 
 def _in_order(root: Node) -> list[Node]:
