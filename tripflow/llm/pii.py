@@ -1,11 +1,12 @@
 """Personal data by fixed shapes, and by contexts learned from them (bootstrapping).
 
-Spans of four fixed shapes are the seeds. What stands before a seed is a lexical pattern: its two
-words to the left. Patterns and the identifiers they precede make a bipartite graph, built and
-scored by Spark in rounds: a pattern is trusted for a kind by the share of its distinct identifiers
-that are known to be of it, an identifier by the best trusted pattern before it; identifiers
-accepted in a round count as known in the next. Identifiers of no fixed shape that stand behind a
-pattern trusted at the end are new spans.
+Spans of four fixed shapes are the seeds. What stands around a seed gives lexical patterns: the word
+to its left, the two words to its left, the word to its right. Patterns and the identifiers they
+surround make a bipartite graph, built and scored by Spark in rounds: a pattern is trusted for a kind
+by the share of its distinct identifiers that are known to be of it, an identifier by the best trusted
+pattern around it; identifiers accepted in a round count as known in the next. Rounds end when none
+adds an identifier, and so no pattern either. Identifiers of no fixed shape that stand in a pattern
+trusted at the end are new spans.
 
 Patterns are aggregates, so a context or an identifier that a third of all texts hold is one row.
 """
@@ -13,6 +14,7 @@ Patterns are aggregates, so a context or an identifier that a third of all texts
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +27,6 @@ from tripflow.llm.words import groups
 KINDS = ("email", "ip", "card", "phone")
 # A pattern is trusted with so many distinct known identifiers and such a share of known ones.
 MIN_SEEDS, MIN_TRUST = 5, 0.8
-ROUNDS = 2
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+")
@@ -33,13 +34,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-# An identifier that a context may reveal: a token that holds a digit or @.
-_TOKEN = re.compile(r"(?<![^ \t\n\x0b\x0c\r])[^ \t\n\x0b\x0c\r]*[0-9@][^ \t\n\x0b\x0c\r]*")
 _WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 _DIGIT = re.compile("[0-9]")
 _OUTER = "\"'()[]{}<>,;:!?.*#$%&|"
-# Characters to the left of a token among which its two words are looked for.
-_REACH = 80
+# What plain words of letters may hold inside; any other token could be an identifier.
+_JOINS = str.maketrans("", "", "-'\u2019")
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -92,34 +91,54 @@ def seeds(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def _context(text: str, start: int) -> str | None:
-    """The two words before a place, without outer punctuation; None if there are fewer."""
-    words = _WORD.findall(text, max(0, start - _REACH), start)[-2:]
-    words = [w.strip(_OUTER).lower() for w in words]
-    return " ".join(words) if len(words) == 2 and all(words) else None
-
-
-def mentions(text: str, known: list[tuple[str, int, int]]) -> Iterator[tuple[str | None, int, int, str, str]]:
-    """(kind, start, end, context, value) of seeds and of other tokens that could be identifiers."""
-    taken = 0
-    spans = iter(sorted((s, e, k) for k, s, e in known))
-    ahead = next(spans, None)
-    for m in _TOKEN.finditer(text):
-        start, end = m.span()
-        while ahead and ahead[0] < end:
-            context = _context(text, ahead[0])
-            if context:
-                yield ahead[2], ahead[0], ahead[1], context, text[ahead[0] : ahead[1]].lower()
-            taken = max(taken, ahead[1])
-            ahead = next(spans, None)
-        if start >= taken:
-            inner = m[0].strip(_OUTER)
-            # A bare number of few digits is no identifier.
-            if len(inner) >= 6:
-                start += m[0].index(inner)
-                context = _context(text, start)
-                if context:
-                    yield None, start, start + len(inner), context, inner.lower()
+def _bare(word: str) -> str:
+    return word.strip(_OUTER).lower()
+
+
+def _patterns(text: str, words: list[tuple[int, int]], start: int, end: int) -> list[str]:
+    """Patterns around a place: one and two words to the left, one to the right, without outer
+    punctuation. Words of nothing else are passed over; ``words`` are the places of all words."""
+    out: list[str] = []
+    left: list[str] = []
+    at = bisect_left(words, (start, 0)) - 1
+    while at >= 0 and len(left) < 2:
+        if word := _bare(text[words[at][0] : min(words[at][1], start)]):
+            left.insert(0, word)
+            out.append(f"{len(left)} {' '.join(left)}")
+        at -= 1
+    at = max(bisect_left(words, (end, 0)) - 1, 0)
+    while at < len(words):
+        if word := _bare(text[max(words[at][0], end) : words[at][1]]):
+            out.append(f"> {word}")
+            break
+        at += 1
+    return out
+
+
+def _could_be_identifier(token: str) -> bool:
+    return bool(token) and not (token.isalpha() or token.translate(_JOINS).isalpha())
+
+
+def mentions(text: str, known: list[tuple[str, int, int]]) -> Iterator[tuple[str | None, int, int, list[str], str]]:
+    """(kind, start, end, patterns, value) of seeds and of other tokens that could be identifiers:
+    all that aren't plain words."""
+    words = [m.span() for m in _WORD.finditer(text)]
+    for kind, start, end in known:
+        if patterns := _patterns(text, words, start, end):
+            yield kind, start, end, patterns, text[start:end].lower()
+    spans = sorted((s, e) for _, s, e in known)
+    taken, at = 0, 0
+    for start, end in words:
+        while at < len(spans) and spans[at][0] < end:
+            taken = max(taken, spans[at][1])
+            at += 1
+        if start < taken or (token := text[start:end]).isalpha():
+            continue
+        inner = token.strip(_OUTER)
+        if _could_be_identifier(inner):
+            start += token.index(inner)
+            if patterns := _patterns(text, words, start, start + len(inner)):
+                yield None, start, start + len(inner), patterns, inner.lower()
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +152,12 @@ def _mention_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in groups(batches):
         out: list[tuple] = []
         for key, text in zip(batch.column("row_key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            if text and ("@" in text or _DIGIT.search(text)):
+            if text:
                 out += [(key, *x) for x in mentions(text, seeds(text))]
         columns = list(zip(*out, strict=True)) or [()] * 6
-        types = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string())
+        types = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["row_key", "kind", "start", "end", "context", "value"]
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["row_key", "kind", "start", "end", "patterns", "value"]
         )
 
 
@@ -146,32 +165,37 @@ _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int3
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
-def trusted_patterns(edges: DataFrame, rounds: int, min_seeds: int, min_trust: float) -> DataFrame:
-    """(context, kind, trust) of the patterns trusted after ``rounds``.
+def trusted_patterns(edges: DataFrame, rounds: int | None, min_seeds: int, min_trust: float) -> DataFrame:
+    """(context, kind, trust) of the patterns trusted once no round adds an identifier, or after
+    ``rounds`` if given.
 
     ``edges`` has (context, value, kind), distinct, kind null for identifiers that are not seeds.
+    Known identifiers only become more, and with them trusted patterns, so the rounds end.
     """
     known = edges.where("kind is not null").select("value", "kind").distinct()
     plain = edges.select("context", "value").distinct()
     totals = plain.groupBy("context").agg(F.count("*").alias("total"))
-    trusted = None
-    for turn in range(rounds):
+    turn = 0
+    while True:
+        turn += 1
         sure = plain.join(known, "value").groupBy("context", "kind").agg(F.count("*").alias("sure"))
         scored = sure.where(F.col("sure") >= min_seeds).join(totals, "context")
         trusted = stored(scored.withColumn("trust", F.col("sure") / F.col("total")).where(F.col("trust") >= min_trust).select("context", "kind", "trust"), "pii-patterns")
-        if turn + 1 < rounds:
-            # The best pattern before an identifier decides its kind.
-            new = plain.join(trusted, "context").groupBy("value").agg(F.max(F.struct("trust", "kind")).alias("best"))
-            new = new.select("value", F.col("best.kind").alias("kind")).join(known.select("value").distinct(), "value", "left_anti")
-            known = stored(known.union(new), "pii-known")
-    return trusted
+        if turn == rounds or trusted.isEmpty():
+            return trusted
+        # The best pattern around an identifier decides its kind.
+        new = plain.join(trusted, "context").groupBy("value").agg(F.max(F.struct("trust", "kind")).alias("best"))
+        new = stored(new.select("value", F.col("best.kind").alias("kind")).join(known.select("value").distinct(), "value", "left_anti"), "pii-new")
+        if new.isEmpty():
+            return trusted
+        known = stored(known.union(new), "pii-known")
 
 
 def find_pii(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     min_seeds: int = MIN_SEEDS,
     min_trust: float = MIN_TRUST,
 ) -> DataFrame:
@@ -180,7 +204,7 @@ def find_pii(
     Spans are structs (kind, start, end) in characters, end exclusive, by start, then kind. Seeds are
     the leftmost non-overlapping matches of each kind that pass its check. Null and empty texts have
     none. Rows that repeat an id are rows of their own; an identifier that many rows repeat counts
-    once for its pattern. An empty table gives an empty result. Columns besides id and text are not
+    once for each of its patterns. An empty table gives an empty result. Columns besides id and text are not
     read. ``row_key`` hashes id and text.
     """
     rows = docs.select(
@@ -188,12 +212,14 @@ def find_pii(
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
     )
     id_type = dict(rows.dtypes)["row_id"]
-    places = rows.mapInArrow(_mention_rows, "row_key long, kind string, start int, end int, context string, value string")
+    places = rows.mapInArrow(_mention_rows, "row_key long, kind string, start int, end int, patterns array<string>, value string")
     places = stored(places, "pii-mentions")
-    edges = stored(places.select("context", "value", "kind").distinct(), "pii-edges")
+    edges = stored(places.select(F.explode("patterns").alias("context"), "value", "kind").distinct(), "pii-edges")
     patterns = trusted_patterns(edges, rounds, min_seeds, min_trust)
-    best = patterns.groupBy("context").agg(F.max(F.struct("trust", "kind")).alias("best")).select("context", F.col("best.kind").alias("found"))
-    new = places.where("kind is null").join(best, "context").select("row_key", F.struct(F.col("found").alias("kind"), "start", "end").alias("span"))
+    # Of all trusted patterns around a place the best names it.
+    around = places.where("kind is null").select("row_key", "start", "end", F.explode("patterns").alias("context"))
+    best = around.join(patterns, "context").groupBy("row_key", "start", "end").agg(F.max(F.struct("trust", "kind")).alias("best"))
+    new = best.select("row_key", F.struct(F.col("best.kind").alias("kind"), "start", "end").alias("span"))
     new = new.groupBy("row_key").agg(F.collect_set("span").alias("revealed"))
     base = rows.mapInArrow(_seed_rows, f"row_id {id_type}, row_key long, base {_SPANS}")
     rank = {k: i for i, k in enumerate(KINDS)}
