@@ -1,19 +1,19 @@
-"""N-gram Jaccard join: a blocked product of the sparse document by n-gram incidence matrix.
+"""N-gram Jaccard join: a prefix and positional filter join over the sparse document by n-gram
+incidence matrix, with exact verification.
 
-A row of the matrix is the set of a document's shingles, as 64-bit hashes. The product of the
-matrix with its transpose counts the shingles two documents share. Only counts that reach the bound
-their sizes imply matter: with sizes a and b, ``t / (1 + t) * (a + b)``. The matrix is taken in
-blocks of columns, from rare to frequent:
+A row of the matrix is the set of a document's shingles, as 64-bit hashes. Only pairs matter that
+share as many shingles as their sizes imply: with sizes a and b, ``t / (1 + t) * (a + b)``. No product
+of the matrix with its transpose is computed; its columns are taken from rare to frequent:
 
-1. columns with one entry. They need no product. A merged sketch of all hashes tells which columns
+1. columns with one entry. They link nothing. A merged sketch of all hashes tells which columns
    can have several; a row with fewer than ``t * a`` entries there links with nothing and leaves
    the matrix, as do rows equal to another.
 2. the leading columns of each row in order of rarity. Two rows that share none of them can't reach
    the bound. For the first column that they share, what both rows have from there on must reach it
    too, or the pair goes.
-3. all columns, for pairs that are left. Their counts are exact, and those below the bound go.
+3. all columns, for pairs that are left. Their whole sets are intersected, and those below the bound go.
 
-A column with many entries would give all pairs of them. So it is first multiplied by its most
+A column with many entries would give all pairs of them. So it is first joined with its most
 central row alone (the one with the fewest rare columns), and rows linked by that are put into one
 component. Only pairs across components are counted after that; within one, more links can't change
 the result. Nothing is left out: a column is finished when its rows are one component, and all other
@@ -37,7 +37,7 @@ from tripflow.llm.words import Texts, groups, mix
 SHINGLE = 5
 # Similarity as a fraction of whole numbers, so that bounds are exact.
 SIMILARITY = (80, 100)
-# Products with one central row per column before the columns are multiplied out.
+# Joins with one central row per column before all pairs of a column are taken.
 CENTRAL_ROUNDS = 2
 
 _ROWS = "row_id long, n long, c1 long, c2 long, grams array<long>"
