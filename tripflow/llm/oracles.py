@@ -1,4 +1,4 @@
-"""DuckDB SQL of the queries that SQL can express. The other two have brute-force tests."""
+"""DuckDB SQL of the queries that SQL can express. The others have brute-force tests."""
 
 _SPACE_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -180,6 +180,93 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+
+
+def _op11(parts: int = 8, width: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    places = range(width)
+    xs, cs = (", ".join(f"{a}{i}" for i in places) for a in "xc")
+    cut = ", ".join(f"v[part * {width} + {i + 1}] AS x{i}" for i in places)
+    distance = " + ".join(f"(x{i} - c{i}) * (x{i} - c{i})" for i in places)
+
+    def nearest(r: int) -> str:
+        return f"near{r} AS MATERIALIZED (SELECT vec_id, p.part, min(({distance}) * {entries} + entry) AS k, {', '.join(f'any_value(x{i}) AS x{i}' for i in places)} FROM parts p JOIN book{r} b ON b.part = p.part GROUP BY vec_id, p.part)"
+
+    def moved(r: int) -> str:
+        means = ", ".join(f"sum(x{i})::BIGINT AS s{i}" for i in places)
+        new = ", ".join(f"CASE WHEN n IS NULL THEN c{i} ELSE (s{i} - ((s{i} % n) + n) % n) // n END AS c{i}" for i in places)
+        return f"book{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, {new} FROM book{r} b LEFT JOIN (SELECT part, k % {entries} AS entry, count(*) AS n, {means} FROM near{r} GROUP BY ALL) m ON m.part = b.part AND m.entry = b.entry)"
+
+    steps = ", ".join(x for r in range(rounds) for x in (nearest(r), moved(r)))
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT vec_id, part, {cut} FROM kept, (SELECT unnest(range({parts})) AS part)
+), book0 AS MATERIALIZED (
+    SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, {', '.join(f'x{i} AS c{i}' for i in places)} FROM parts QUALIFY dense_rank() OVER (ORDER BY vec_id) <= {entries}
+), {steps}, {nearest(rounds)}, codes AS (
+    SELECT vec_id, string_agg(printf('%02x', (k % {entries})::INTEGER), '' ORDER BY part) AS code, sum(k // {entries})::BIGINT AS error FROM near{rounds} GROUP BY vec_id
+), books AS (
+    SELECT sha256(string_agg(concat_ws(',', {cs}), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (vec_id), books
+"""
+
+
+OP12 = OP1.replace("w[i:i + 4]", "w[i:i + 1]").replace("greatest(len(w) - 4, 1)", "greatest(len(w) - 1, 1)")
+OP12 = f"SELECT *, doc_id = component_id AS kept FROM ({OP12})"
+
+
+def _op13(levels: int = 16) -> str:
+    """Windows of 2**k words are named by hashing the names of their halves. In a run of period q the
+    next place of a window of q to 2 * q - 1 words is q further on, and only there, so stretches of
+    such places are the runs."""
+    names = ["name0 AS (SELECT doc_id, i, hash(x) AS h FROM flat)"]
+    for k in range(1, levels):
+        half = 1 << (k - 1)
+        names.append(
+            f"name{k} AS MATERIALIZED (SELECT doc_id, i, hash(h, g) AS h FROM (SELECT *, lead(h, {half}) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM name{k - 1}) WHERE g IS NOT NULL)"
+        )
+    met = " UNION ALL ".join(
+        f"SELECT doc_id, i, d, {1 << k} AS k FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id, h ORDER BY i) - i AS d FROM name{k}) WHERE 2 * d > {1 << k} AND d <= {1 << k}"
+        for k in range(levels)
+    )
+    return rf"""
+WITH RECURSIVE crc_steps(i, k, v) AS (
+    SELECT i, 0, i FROM range(256) r(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc_steps WHERE k < 8
+), crc_table AS (
+    SELECT list(v ORDER BY i) AS t FROM crc_steps WHERE k = 8
+), plain AS (
+    SELECT doc_id, {_SPACE_WORDS} AS w,
+        xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+    FROM documents, crc_table
+), shaped AS (
+    SELECT doc_id, w, h, (h // 10) % len(w) AS a, 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS p FROM plain WHERE len(w) > 0
+), flat AS MATERIALIZED (
+    SELECT doc_id, i, w[(CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END) + 1] AS x FROM (SELECT *, unnest(range(len(w))) AS i FROM shaped)
+), {', '.join(names)}, met AS MATERIALIZED ({met}), islands AS (
+    SELECT doc_id, d, k, i, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM met
+), found AS MATERIALIZED (
+    SELECT doc_id, min(i) AS start, max(i) - min(i) + any_value(k) + d AS length, d AS period FROM islands GROUP BY doc_id, d, island
+    HAVING max(i) - min(i) + any_value(k) + d >= greatest(6, 4 * d)
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t FROM found GROUP BY doc_id
+), longest AS (
+    SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM found
+), collapsed AS (
+    SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM flat f ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+    (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(l.t, '')) AS runs_sha256, sha256(coalesce(c.t, '')) AS collapsed_sha256
+FROM plain LEFT JOIN listed l USING (doc_id) LEFT JOIN longest USING (doc_id) LEFT JOIN collapsed c USING (doc_id)
+"""
+
+
 ORACLES = {
     "op1_ngram_join": OP1,
     "op2_quality_rules": _op2(),
@@ -188,4 +275,7 @@ ORACLES = {
     "op7_substring_dedup": OP7,
     "op8_chat_format": OP8,
     "op10_mixing": OP10,
+    "op11_vector_codes": _op11(),
+    "op12_minhash": OP12,
+    "op13_periodic_runs": _op13(),
 }

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import chat, decontaminate, html_text, mixing, ngram_join, pii, quality_rules, secret_scan, substring_dedup, warc
+from tripflow.llm import (
+    chat, decontaminate, html_text, minhash, mixing, ngram_join, pii, quality_rules, runs, secret_scan, substring_dedup, vector_codes, warc,
+)
 from tripflow.llm.tables import table
+from tripflow.llm.words import space_words
 
 
 def _listed(spans: Column) -> Column:
@@ -92,7 +95,33 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_sha256(codebooks)).alias("codebooks_sha256"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", runs.repeated_tail(F.col("doc_id"), F.col("text"), space_words(F.col("text"))))
+    found = runs.periodic_runs(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("top", longest)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"), F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        _sha256(F.array_join(lines, "")).alias("runs_sha256"), _sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     q.__name__: q
-    for q in (op1_ngram_join, op2_quality_rules, op3_decontaminate, op4_warc, op5_pii, op6_secret_scan, op7_substring_dedup, op8_chat_format, op9_html_text, op10_mixing)
+    for q in (
+        op1_ngram_join, op2_quality_rules, op3_decontaminate, op4_warc, op5_pii, op6_secret_scan, op7_substring_dedup,
+        op8_chat_format, op9_html_text, op10_mixing, op11_vector_codes, op12_minhash, op13_periodic_runs,
+    )
 }
