@@ -10,7 +10,8 @@ left is verified exactly on the whole sets.
 A bucket doesn't give all its pairs. Its sets are first paired with the one that shares most buckets,
 each set with its best partner first; linked sets become one component, and only pairs across
 components are looked at after that. A bucket that still holds many sets of different components is
-not paired up: its sets are joined on the rare shingles that linked sets must share.
+not paired up: its sets are joined on the rare shingles that linked sets must share. Both joins apply the
+posterior bound to one bit of each place of the signatures, so a pair they rule out is never a row.
 
 Entries of bands are dealt out by ranges of (band, set), so a bucket of any size lies spread over tasks.
 """
@@ -37,7 +38,7 @@ BANDS, BAND_SIZE = 64, 6
 BATCH = 32
 MISS = 1e-9
 # Sets of a bucket that are paired up; larger ones go through their rare shingles.
-PAIRED = 64
+PAIRED = 8
 
 _ROWS = "row_id long, t1 long, t2 long, n long, c1 long, c2 long, signature binary"
 _rng = np.random.default_rng(20250311)
@@ -176,6 +177,23 @@ def _sizes_fit(similarity: tuple[int, int]) -> Column:
     return similarity[0] * F.greatest("na", "nb") <= similarity[1] * F.least("na", "nb")
 
 
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The top bit of each byte of the signatures, as longs."""
+    for batch in batches:
+        found = np.packbits(_bytes_of(batch.column("signature"), BANDS * BAND_SIZE) >> 7, axis=1).view(np.int64)
+        names = [f"bits{i}" for i in range(found.shape[1])]
+        columns = [pa.array(np.ascontiguousarray(c)) for c in found.T]
+        yield pa.RecordBatch.from_arrays([batch.column("r"), batch.column("c"), batch.column("n"), *columns], names=["r", "c", "n", *names])
+
+
+def _bits_fit(similarity: tuple[int, int], miss: float) -> Column:
+    """The posterior bound on one bit of each place: bits agree with the probability (1 + s) / 2."""
+    size = BANDS * BAND_SIZE
+    least = least_matches(size, size, (similarity[0] + similarity[1], 2 * similarity[1]), miss)[0][1]
+    differing = [F.bit_count(F.col(f"bits{i}a").bitwiseXOR(F.col(f"bits{i}b"))) for i in range(size // 64)]
+    return sum(differing[1:], differing[0]) <= size - least
+
+
 def _likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int], miss: float) -> DataFrame:
     """(a, b, matches) of pairs (a, b) that the signatures don't rule out."""
     one = sets.select(F.col("r").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
@@ -226,29 +244,47 @@ def _central(entries: DataFrame) -> DataFrame:
 
 
 def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries, with their component, of buckets that hold several components."""
+    """(band, size, r, c): entries of buckets that hold several components."""
     named = entries.join(labels, "r", "left").withColumn("c", F.coalesce("c", "r"))
     buckets = named.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("size"))
     return named.join(buckets.where("x <> y").select("band", "size"), "band")
 
 
-def _paired(entries: DataFrame, key: str) -> DataFrame:
-    """Pairs across components of entries that share a key."""
-    one = entries.select(key, F.col("r").alias("a"), F.col("c").alias("ca"))
-    two = entries.select(key, F.col("r").alias("b"), F.col("c").alias("cb"))
-    return one.join(two, key).where("a < b and ca <> cb").select("a", "b").distinct()
+def _members(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """(r, c, n, bits0, ...) of the sets in these entries."""
+    held = entries.select("r", "c").distinct().join(sets.select("r", "n", "signature"), "r")
+    longs = ", ".join(f"bits{i} long" for i in range(BANDS * BAND_SIZE // 64))
+    return held.select("r", "c", "n", "signature").mapInArrow(_bits, f"r long, c long, n long, {longs}")
 
 
-def _rare_pairs(members: DataFrame, grams: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs across components, of members (r, c), that share one of the rarest shingles: linked sets
-    must share one of the first ``n - ceil(t * n) + 1`` of either, in one order."""
-    held = stored(members.join(grams, "r").select("r", "c", F.explode("grams").alias("gram")), "minhash-rest")
-    frequent = held.groupBy("gram").agg(F.count("*").alias("df"))
+def _paired(entries: DataFrame, key: str, similarity: tuple[int, int], miss: float) -> DataFrame:
+    """Pairs across components of entries (key, place, r, c, n, bits...) that share a key and may be
+    linked by their sizes, places and bits.
+
+    ``place`` counts the shingles of a set before the key, in one order of all shingles. If the key is
+    the first that two sets share, they can share no more than what either has from there on. A pair
+    that is linked passes at its first shared key, so others may fail.
+    """
+    one, two = (entries.select(key, *(F.col(x).alias(f"{x}{side}") for x in entries.columns if x != key)) for side in "ab")
+    left = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb"))
+    fits = (similarity[0] + similarity[1]) * left >= similarity[0] * (F.col("na") + F.col("nb"))
+    met = (F.col("ra") < F.col("rb")) & (F.col("ca") != F.col("cb")) & _sizes_fit(similarity) & fits & _bits_fit(similarity, miss)
+    return one.join(two, key).where(met).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+
+
+def _rare_pairs(members: DataFrame, grams: DataFrame, similarity: tuple[int, int], miss: float) -> DataFrame:
+    """Pairs across components, of members, that share one of the rarest shingles: linked sets must
+    share one of the first ``n - ceil(t * n) + 1`` of either, in one order."""
+    held = stored(grams.select("r", F.explode("grams").alias("gram")), "minhash-rest")
+    frequent = held.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    # Shingles of one set alone come first in the order, and are not needed to keep it.
     order = F.sort_array(F.collect_list(F.struct("df", "gram")))
-    ordered = held.join(frequent, "gram").groupBy("r", "c").agg(order.alias("grams"))
-    n = F.size("grams")
-    lead = F.slice("grams", F.lit(1), (n - F.ceil(similarity[0] * n / similarity[1]) + 1).cast("int"))
-    return _paired(ordered.select("r", "c", F.explode(lead.getField("gram")).alias("gram")), "gram")
+    ordered = held.join(frequent, "gram").groupBy("r").agg(order.alias("grams")).join(members, "r")
+    alone = F.col("n") - F.size("grams")
+    lead = F.col("n") - F.ceil(similarity[0] * F.col("n") / similarity[1]) + 1 - alone
+    first = F.slice("grams", F.lit(1), F.greatest(lead, F.lit(0)).cast("int"))
+    keyed = ordered.select(F.posexplode(first.getField("gram")).alias("at", "gram"), alone.alias("alone"), *members.columns)
+    return _paired(keyed.withColumn("place", F.col("alone") + F.col("at")).drop("alone", "at"), "gram", similarity, miss)
 
 
 def near_duplicates(
@@ -283,31 +319,27 @@ def near_duplicates(
     entries = stored(banded.repartitionByRange("band", "r").sortWithinPartitions("band", "r").mapInArrow(_shared, "band long, r long"), "minhash-shared")
     likely = stored(_likely(_central(entries), sets, similarity, miss), "minhash-likely")
     # Whole sets only of those that are left somewhere.
-    labels, grams = None, None
-
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        return stored(_links(pairs, grams, similarity), name)
-
     grams = _whole_sets(texts, sets, likely, shingle)
     best = likely.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("m")).select("m.a", "b")
-    labels = _labelled(linked(best, "minhash-best"), None)
-    more = linked(_across(likely, labels), "minhash-more")
+    labels = _labelled(stored(_links(best, grams, similarity), "minhash-best"), None)
+    more = stored(_links(_across(likely, labels), grams, similarity), "minhash-more")
     if not more.isEmpty():
         labels = _labelled(more, labels)
     still = stored(_open(entries, labels), "minhash-open")
-    pairs = _paired(still.where(F.col("size") <= paired), "band")
-    rest = stored(still.where(F.col("size") > paired).select("r", "c").distinct(), "minhash-large")
+    members = stored(_members(still, sets), "minhash-members")
+    pairs = _paired(still.where(F.col("size") <= paired).select("band", F.lit(0).alias("place"), "r").join(members, "r"), "band", similarity, miss)
+    rest = stored(members.join(still.where(F.col("size") > paired), "r", "left_semi"), "minhash-large")
     if not rest.isEmpty():
         held = _whole_sets(texts, sets, rest.select(F.col("r").alias("a"), F.col("r").alias("b")), shingle)
-        pairs = pairs.union(_rare_pairs(rest, held, similarity)).distinct()
+        pairs = pairs.union(_rare_pairs(rest, held, similarity, miss)).distinct()
     likely = stored(_likely(pairs, sets, similarity, miss), "minhash-across")
     if not likely.isEmpty():
-        grams = _whole_sets(texts, sets, likely, shingle)
-        last = linked(likely, "minhash-last")
+        last = stored(_links(likely, _whole_sets(texts, sets, likely, shingle), similarity), "minhash-last")
         if not last.isEmpty():
             labels = _labelled(last, labels)
     named = sets.select("r", "c1", "c2", "least").join(labels, "r", "left").withColumn("c", F.coalesce("c", "r"))
-    tops = named.groupBy("c").agg(F.min("least").alias("component_id"))
+    # Written, so that the join below can split a large component.
+    tops = stored(named.groupBy("c").agg(F.min("least").alias("component_id")), "minhash-names")
     classes = named.join(tops, "c").select("c1", "c2", "component_id")
     component = F.when(F.col("n") == 0, F.col("row_id")).otherwise(F.col("component_id"))
     joined = rows.select("row_id", "n", "c1", "c2").join(classes, ["c1", "c2"], "left").withColumn("component", component)
