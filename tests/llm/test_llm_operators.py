@@ -101,11 +101,11 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def brute_classes(rows):
+def brute_classes(rows, size=5):
     sets = []
     for i, t in rows:
         w = SPACE_WORD.findall(lower(t))
-        sets.append({tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if w else set())
+        sets.append({tuple(w[k : k + size]) for k in range(max(len(w) - size + 1, 1))} if w else set())
     group = list(range(len(rows)))
     for a in range(len(rows)):
         for b in range(a):

@@ -13,7 +13,7 @@ from tripflow.llm import mixing, pii, quality_rules
 from tripflow.llm.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ def test_all_are_registered():
     import __spark_entry__
 
     assert set(QUERIES) <= set(__spark_entry__.queries())
-    assert {re.match(r"op(\d+)_|pipeline", n)[0] for n in QUERIES} == {f"op{i}_" for i in range(1, 11)} | {"pipeline"}
+    assert {re.match(r"op(\d+)_|pipeline", n)[0] for n in QUERIES} == {f"op{i}_" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
