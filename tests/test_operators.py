@@ -4,7 +4,7 @@ import hashlib
 import math
 import random
 import uuid
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import date, datetime, timedelta
 
 import numpy as np
@@ -176,6 +176,34 @@ def test_running_before_equals_a_plain_scan(spark, seed):
         assert got[event] == sum(r[1] for r in rows if r[0] == key and r[2] < at)
 
 
+def test_a_key_with_a_third_of_the_rows_spreads_over_pieces(spark):
+    """No piece holds over twice the mean, and the scans over them are those of one piece."""
+    rows = spark.range(60_000).selectExpr(
+        "case when id % 3 = 0 then 'hot' else concat('k', id % 500) end as k", "cast(id % 7 as bigint) as v",
+        "timestamp_seconds(1704067200 + cast(id * 2654435761 % 86400 as bigint)) as t", "cast(id as string) as e",
+        "if(id % 5 = 0, null, cast(id % 3 as string)) as c",
+    )
+    kept = {n: spark.conf.get(n) for n in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+
+    def results():
+        sums = timeline.running_before(rows, "k", "t", {"s": "v", "n": "v"}).select("e", "s")
+        return Counter(map(tuple, sums.collect())), Counter(map(tuple, timeline.value_periods(rows, "k", "c", "t", "e").collect()))
+
+    try:
+        for n, value in zip(kept, ("24", "false")):
+            spark.conf.set(n, value)
+        pieces = timeline.in_pieces(rows, "k", "t")
+        sizes = [r["count"] for r in pieces.groupBy("_piece").count().collect()]
+        assert len(sizes) >= 20 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+        assert pieces.filter("k = 'hot'").select("_piece").distinct().count() >= 7
+        spread = results()
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        assert results() == spread
+    finally:
+        for n, value in kept.items():
+            spark.conf.set(n, value)
+
+
 @pytest.mark.parametrize("left_hot, right_hot", [(1000, 2), (2, 1000), (150, 150), (1000, 0), (0, 1000), (1, 1)])
 def test_grid_join_equals_plain_join(spark, left_hot, right_hot):
     def side(hot, column):

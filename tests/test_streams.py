@@ -12,7 +12,7 @@ from tripflow.sinks.backfill import backfill_silver
 from tripflow.sources.lake import read_silver
 from tripflow.sources.topics import land_messages, read_topic
 from tripflow.streaming import bronze, gold, silver
-from tripflow.streaming.run import await_all, late_rows
+from tripflow.streaming.run import ProgressLog, await_all
 
 TRIPS = settings.TOPICS[0]
 FRAUD = settings.TOPICS[10]
@@ -41,9 +41,10 @@ class Lake:
         marks = f"{self.root}/marks"
         await_all(bronze.start_all(self.spark, f"{self.root}/bronze", f"{marks}/b", bounded=True, topics=list(topics), files=f"{self.root}/topics"))
         queries = silver.start(self.spark, f"{self.root}/bronze", f"{self.root}/silver", f"{marks}/s", bounded=True)
-        await_all(queries)
+        log = ProgressLog(self.spark, f"{self.root}/progress")
+        await_all(queries, log)
+        self.late = {r["name"]: r["late_rows"] for r in log.late_rows().collect()}
         await_all([gold.start(self.spark, f"{self.root}/silver", f"{self.root}/gold", f"{marks}/g", bounded=True)])
-        return queries
 
     def events(self):
         rows = self.spark.read.schema(schemas.SILVER).parquet(f"{self.root}/silver/canonical_events")
@@ -81,10 +82,36 @@ def test_layers_over_three_batches(lake):
 
     # Far behind the watermark: in neither output, but counted.
     lake.publish(message(9, "late", 10), message(10, "y", 310))
-    queries = lake.run()
+    lake.run()
     assert lake.events() == ["a", "b", "d", "e", "y", "z"]
     assert lake.quarantine() == 2
-    assert late_rows(queries[0]) == 1
+    assert lake.late["silver_canonical_events"] == 1
+
+
+def test_late_rows_of_all_batches_are_counted(spark, tmp_path):
+    """More batches than a query holds reports of, over two runs of it."""
+    files = tmp_path / "in"
+    (files / "a").mkdir(parents=True)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "4")
+    try:
+        for turn in range(2):
+            for i in range(7):
+                # Every file but the first holds a row far behind the watermark.
+                n = 7 * turn + i
+                rows = [f'{{"id": "x{n}", "t": "2024-01-01T{n:02d}:00:00"}}', f'{{"id": "late{n}", "t": "2023-01-01T00:00:00"}}']
+                (files / f"{n:02d}.json").write_text("\n".join(rows))
+            events = spark.readStream.schema("id string, t timestamp").option("maxFilesPerTrigger", 1).json(str(files))
+            query = (
+                events.withWatermark("t", "1 day").dropDuplicatesWithinWatermark(["id"]).writeStream.queryName("late counts")
+                .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "marks")).trigger(availableNow=True).start()
+            )
+            log = ProgressLog(spark, str(tmp_path / "log"))
+            await_all([query], log, seconds=0.2)
+            assert len(query.recentProgress) < 7
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "10000")
+    found = log.late_rows().first()
+    assert found["name"] == "late counts" and found["batches"] >= 14 and found["late_rows"] == 13
 
 
 def test_unusable_copy_first_does_not_cost_the_usable_one(lake):

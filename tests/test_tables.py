@@ -1,8 +1,10 @@
 """Sinks: snapshots, incremental facts, reports, backfill."""
 
-from datetime import datetime, timedelta
+import re
+from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripflow import schemas
 from tripflow.operators.conform import conform
@@ -66,6 +68,51 @@ def test_incremental_fact_equals_replacement_in_memory(spark, staging, tmp_path)
     assert sorted((r["trip_id"], r["created_at"]) for r in table.read().collect()) == rows
 
 
+def test_one_day_load_touches_only_its_day(spark, staging, tmp_path):
+    """Other days are neither scanned nor written; their keys are looked up by hash alone."""
+    first = [event(100 * d + i, f"t{d}-{i}", start(d, i % 24)) for d in range(1, 9) for i in range(30)]
+    table = IncrementalFact(spark, "fact_trip", str(tmp_path))
+    table.load(staging(*first))
+    data, keys = tmp_path / "fact_trip/data", tmp_path / "fact_trip/keys"
+
+    def files(root):
+        return {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in root.glob("created_date=*")}
+
+    before = files(data), files(keys)
+    assert set(before[0]) == set(before[1]) and len(before[0]) == 8
+    # New trips of day 9, and one of day 8 again.
+    later = [event(1000 + i, f"n{i}", start(9, i % 24)) for i in range(30)] + [event(1100, "t8-3", start(9, 5))]
+    batch = table.fact.build(staging(*later)).withColumn("created_date", F.to_date("created_at"))
+    days = table.days_with(batch)
+    assert [str(r[0]) for r in days.collect()] == ["2024-01-08"]
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "key_hash:bigint" in plan and "trip_fact_key:string" not in plan
+    touched = {date(2024, 1, 8), date(2024, 1, 9)}
+    plan = table.unreplaced(batch, touched)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[created_date#\d+ IN \(2024-01-08,2024-01-09\)\]", plan), plan
+    table.load(staging(*first, *later))
+    after = files(data), files(keys)
+    for old, new in zip(before, after):
+        assert {d: f for d, f in new.items() if d < "created_date=2024-01-08"} == {d: f for d, f in old.items() if d < "created_date=2024-01-08"}
+        assert old["created_date=2024-01-08"] != new["created_date=2024-01-08"] and len(new) == 9
+    rows = {(r["trip_id"], r["created_at"]) for r in table.read().collect()}
+    assert len(rows) == 240 - 1 + 31 and ("t8-3", start(9, 5)) in rows and ("t8-3", start(8, 3)) not in rows
+    assert table.keys().count() == len(rows)
+    # What a finished load wrote beside the table is gone.
+    assert not list((tmp_path / "fact_trip/changes").glob("*/days"))
+
+
+def test_keys_of_an_older_table_are_made_once(spark, staging, tmp_path):
+    import shutil
+
+    table = IncrementalFact(spark, "fact_trip", str(tmp_path))
+    table.load(staging(event(1, "t1", start(1)), event(2, "t2", start(2))))
+    shutil.rmtree(tmp_path / "fact_trip/keys")
+    table.load(staging(event(3, "t1", start(3))))
+    assert {(r["trip_id"], r["created_at"]) for r in table.read().collect()} == {("t1", start(3)), ("t2", start(2))}
+    assert table.keys().count() == 2
+
+
 def test_incremental_fact_finishes_a_load_that_died(spark, staging, tmp_path, monkeypatch):
     first, later = [event(1, "t1", start(1))], [event(2, "t1", start(2)), event(3, "t2", start(2))]
     whole = IncrementalFact(spark, "fact_trip", str(tmp_path / "whole"))

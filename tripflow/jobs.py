@@ -31,7 +31,7 @@ from tripflow.sinks.snapshots import SnapshotTable, folder_exists
 from tripflow.sources.corpus import with_document_ids
 from tripflow.sources.lake import read_layer, read_silver, read_source_file
 from tripflow.streaming import bronze, gold as gold_stream, silver
-from tripflow.streaming.run import await_all
+from tripflow.streaming.run import ProgressLog, await_all
 
 DIMENSIONS = {
     "dim_city": dimensions.dim_city,
@@ -115,14 +115,21 @@ def _kafka(args) -> dict:
     }
 
 
+def _followed(spark, args, queries) -> dict:
+    """Wait for the end and tell how many rows came too late, over all runs of these queries."""
+    log = ProgressLog(spark, f"{args.checkpoint_root}/progress")
+    await_all(queries, log)
+    names = [q.name for q in queries]
+    late = log.late_rows().filter(F.col("name").isin(names)).collect()
+    return {f"late_rows_{r['name']}": r["late_rows"] for r in late}
+
+
 def run_silver(spark, args) -> dict:
-    await_all(
-        silver.start(
-            spark, args.bronze_root, args.silver_root, args.checkpoint_root, args.bounded,
-            args.watermark, args.max_files, state_partitions=args.state_partitions,
-        )
+    queries = silver.start(
+        spark, args.bronze_root, args.silver_root, args.checkpoint_root, args.bounded,
+        args.watermark, args.max_files, state_partitions=args.state_partitions,
     )
-    return {}
+    return _followed(spark, args, queries)
 
 
 def run_gold(spark, args) -> dict:
@@ -130,8 +137,7 @@ def run_gold(spark, args) -> dict:
         spark, args.silver_root, args.gold_root, args.checkpoint_root, args.bounded, args.max_files,
         args.state_partitions,
     )
-    await_all([query])
-    return {}
+    return _followed(spark, args, [query])
 
 
 def run_open_data(spark, args) -> dict:

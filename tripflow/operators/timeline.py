@@ -1,24 +1,35 @@
 """Ordered scans over long histories of single keys.
 
 A window over one key's whole history would put a busy key into one task. Here
-the history is cut at fixed times. Windows run inside each piece and then over
-one summary row per piece, so that the largest group is a key's busiest hour,
-or the number of hours on the calendar.
+the rows are dealt out by ranges of (key, time), so a busy key spreads over as
+many pieces as its share of the rows asks for. Windows run inside each piece
+and then over one summary row per key and piece: a prefix scan over the pieces.
+The largest group is a piece, or the number of pieces.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tripflow.session import fresh_dir
 
-def value_periods(
-    frame: DataFrame, key: str, value: str, time: str, tie: str, chunk: str = "hour"
-) -> DataFrame:
+
+def in_pieces(frame: DataFrame, *order: str) -> DataFrame:
+    """The rows with ``_piece``: the number of the range of ``order`` they lie in, rising with it.
+
+    Written to the shared folder, because bounds of ranges come from samples: a second
+    evaluation could draw others. Rows equal in ``order`` share a piece.
+    """
+    placed = frame.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id())
+    path = fresh_dir(frame.sparkSession, "timeline")
+    placed.write.parquet(path)
+    return frame.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+def value_periods(frame: DataFrame, key: str, value: str, time: str, tie: str) -> DataFrame:
     """Runs of an unchanged value per key: key, value, valid_from, valid_to."""
-    cut = frame.select(
-        key, value, F.col(time).alias("_t"), F.col(tie).alias("_tie"),
-        F.date_trunc(chunk, time).alias("_piece"),
-    )
+    rows = frame.select(key, value, F.col(time).alias("_t"), F.col(tie).alias("_tie"))
+    cut = in_pieces(rows, key, "_t", "_tie")
     inside = Window.partitionBy(key, "_piece").orderBy("_t", "_tie")
     # Inside a piece only rows that differ from the one before matter.
     changes = cut.withColumn("_row", F.row_number().over(inside)).withColumn(
@@ -53,17 +64,13 @@ def value_periods(
     )
 
 
-def running_before(
-    frame: DataFrame, key: str, time: str, amounts: dict[str, str], chunk: str = "hour"
-) -> DataFrame:
+def running_before(frame: DataFrame, key: str, time: str, amounts: dict[str, str]) -> DataFrame:
     """Adds, for each amount, its sum over the key's strictly earlier rows.
 
     ``amounts`` maps a result name to a numeric column. Rows at the same time
-    do not count one another.
+    do not count one another; a piece holds all rows of a key at one time.
     """
-    cut = frame.withColumn("_piece", F.date_trunc(chunk, time)).withColumn(
-        "_us", F.unix_micros(time)
-    )
+    cut = in_pieces(frame, key, time).withColumn("_us", F.unix_micros(time))
     totals = cut.groupBy(key, "_piece").agg(
         *[F.sum(column).alias(f"_sum_{name}") for name, column in amounts.items()]
     )

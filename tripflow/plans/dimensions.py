@@ -148,12 +148,12 @@ def dim_payment_method(staging: DataFrame) -> DataFrame:
     )
 
 
-def driver_history(staging: DataFrame, chunk: str = "hour") -> DataFrame:
+def driver_history(staging: DataFrame) -> DataFrame:
     """City assignments of drivers over time, one row per stay (type-2 history)."""
     from tripflow.operators.timeline import value_periods
 
     known = staging.filter(F.col("driver_id").isNotNull())
-    periods = value_periods(known, "driver_id", "city_id", "event_time", "event_id", chunk)
+    periods = value_periods(known, "driver_id", "city_id", "event_time", "event_id")
     return periods.select(
         keys.md5_key("driver_id").alias("driver_key"),
         "driver_id",

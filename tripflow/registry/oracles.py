@@ -395,13 +395,13 @@ _oracle(
 )
 for _name, (_key, _where, _columns) in FACT_SELECTS.items():
     _oracle(_name, _name, f"select * from {_name}")
-    _oracle(
-        f"{_name}_second_load", _name,
-        f"""select * from {_name} where created_at >= {CUT}
+    _second = f"""select * from {_name} where created_at >= {CUT}
             union all
             select * from {_name} where created_at < {CUT} and {_key} not in
-              (select {_key} from {_name} where created_at >= {CUT})""",
-    )
+              (select {_key} from {_name} where created_at >= {CUT})"""
+    _oracle(f"{_name}_second_load", _name, _second)
+    if _name in ("fact_trip", "fact_payment"):
+        _oracle(f"{_name}_stored_loads", _name, _second)
 _oracle(
     "fact_trip_latest_per_key", "fact_trip",
     """select * from fact_trip

@@ -17,6 +17,8 @@ JOB_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Reports that a query holds between two looks of a progress log.
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
     # A commit uploads what changed, not the whole state.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -48,15 +50,63 @@ def append_parquet(
         spark.conf.set("spark.sql.shuffle.partitions", session_width)
 
 
-def await_all(queries: list[StreamingQuery]) -> None:
-    for query in queries:
-        query.awaitTermination()
+class ProgressLog:
+    """Progress reports of streaming queries, a small JSON file per micro-batch.
 
+    A query holds only its newest reports, so they are copied while it runs. A restarted query goes
+    on numbering its batches; a batch that ran twice after a failure counts by its last report.
+    """
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark has turned away, over the progress reports still held."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress.get("stateOperators", [])
+    SCHEMA = (
+        "name string, batchId bigint, timestamp string, "
+        "stateOperators array<struct<numRowsDroppedByWatermark: bigint>>"
     )
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._seen: dict[str, int] = {}
+
+    def record(self, query: StreamingQuery) -> None:
+        """Copy the reports that came since the last call."""
+        run = str(query.runId)
+        last = self._seen.get(run, -1)
+        for report in query.recentProgress:
+            # A trigger that found nothing to do reports too, under the number of the next batch.
+            if report["batchId"] > last and "addBatch" in report["durationMs"]:
+                place = f"{self.root}/name={quote(query.name, safe='')}/{run}-{report['batchId']}.json"
+                self._put(place, report.json)
+                self._seen[run] = last = report["batchId"]
+
+    def _put(self, place: str, report: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        system = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        stream = system.create(path, True)
+        try:
+            stream.write(bytearray(" ".join(report.split("\n")).encode()))
+        finally:
+            stream.close()
+
+    def late_rows(self) -> DataFrame:
+        """(name, batches, late_rows): rows the watermark has turned away, over all batches so far."""
+        reports = self.spark.read.schema(self.SCHEMA).option("recursiveFileLookup", "true").json(self.root)
+        last = reports.groupBy("name", "batchId").agg(F.max_by("stateOperators", "timestamp").alias("operators"))
+        late = F.aggregate(
+            F.coalesce("operators", F.array()), F.lit(0).cast("bigint"),
+            lambda total, x: total + F.coalesce(x["numRowsDroppedByWatermark"], F.lit(0)),
+        )
+        return last.groupBy("name").agg(F.count("*").alias("batches"), F.sum(late).alias("late_rows"))
+
+
+def await_all(queries: list[StreamingQuery], log: ProgressLog | None = None, seconds: float = 1.0) -> None:
+    """Wait for the end of all. With a log, their reports are kept; between two looks a query must not
+    run more batches than ``spark.sql.streaming.numRecentProgressUpdates``."""
+    if log is None:
+        for query in queries:
+            query.awaitTermination()
+        return
+    running = list(queries)
+    while running:
+        ended = [q for q in running if q.awaitTermination(seconds / len(running))]
+        for query in running:
+            log.record(query)
+        running = [q for q in running if q not in ended]

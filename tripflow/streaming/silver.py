@@ -32,14 +32,17 @@ def start(
     bounded: bool = False,
     watermark: str = WATERMARK,
     max_files: int | None = None,
-    files_per_partition: int = 8,
+    files_per_partition: int | None = None,
     state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
+    """``files_per_partition`` bounds the files a micro-batch adds to a day and city; without it a
+    busy one spreads over all tasks."""
     canonical = to_canonical(stream_bronze(spark, bronze_root, max_files))
+    lanes = files_per_partition or state_partitions or spark.sparkContext.defaultParallelism
     usable = usable_events(canonical, watermark)
     return [
         append_parquet(
-            gathered(usable, PARTITIONS, files_per_partition, "event_id"),
+            gathered(usable, PARTITIONS, lanes, "event_id"),
             name="silver_canonical_events",
             path=f"{silver_root}/canonical_events",
             checkpoint=f"{checkpoint_root}/canonical_events",
