@@ -111,7 +111,8 @@ def test_late_rows_of_all_batches_are_counted(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "10000")
     found = log.late_rows().first()
-    assert found["name"] == "late counts" and found["batches"] >= 14 and found["late_rows"] == 13
+    assert found["name"] == "late counts" and found["batches"] >= 14
+    assert found["late_rows"] == 28 - spark.read.schema("id string, t timestamp").parquet(str(tmp_path / "out")).count() == 12
 
 
 def test_unusable_copy_first_does_not_cost_the_usable_one(lake):
