@@ -154,7 +154,8 @@ FROM long GROUP BY conv_id
 
 OP10 = rf"""
 WITH sized AS (
-    SELECT doc_id, source, len({_SPACE_WORDS})::BIGINT AS size, md5('mix/' || coalesce(doc_id::VARCHAR, '')) AS o FROM documents
+    SELECT doc_id, source, len({_SPACE_WORDS})::BIGINT AS size,
+        md5('mix/' || md5(coalesce(doc_id::VARCHAR, '') || '/' || coalesce(md5(text), ''))) AS o FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM sized GROUP BY source
 ), caps AS (
@@ -169,15 +170,32 @@ WITH sized AS (
     SELECT c.source, c.source_size,
         CASE WHEN l.no IS NULL OR (c.cap::DOUBLE / c.weight, c.no) < (l.o, l.no) THEN c.cap::DOUBLE ELSE (l.rest * c.weight)::DOUBLE / l.free END AS target
     FROM caps c LEFT JOIN level l ON true
+), sums AS (
+    SELECT sum(source_size)::BIGINT AS total, greatest((sum(source_size)::BIGINT + 1048575) // 1048576, 1) AS block, sum(target) AS whole FROM targets
+), arcs AS (
+    SELECT s.no, t.*, floor(sum(target) OVER (ORDER BY s.no) / whole * 4294967296)::BIGINT AS high
+    FROM targets t JOIN sources s ON s.source IS NOT DISTINCT FROM t.source, sums
+), bounds AS (
+    SELECT *, coalesce(lag(high) OVER (ORDER BY no), 0) AS low FROM arcs
+), slots AS (
+    SELECT slot, no, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS rank
+    FROM (SELECT unnest(range((total + block - 1) // block)) AS slot FROM sums) JOIN bounds ON slot * 2654435769 % 4294967296 >= low AND slot * 2654435769 % 4294967296 < high
+), given AS (
+    SELECT b.*, least(coalesce(g, 0) * block, 3 * source_size) AS words FROM bounds b LEFT JOIN (SELECT no, count(*) AS g FROM slots GROUP BY no) USING (no), sums
 ), placed AS (
-    SELECT s.*, t.source_size, t.target, floor(t.target)::BIGINT AS words,
+    SELECT s.*, g.no, g.source_size, g.target, g.words,
         (sum(size) OVER (PARTITION BY s.source ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
-    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    FROM sized s JOIN given g ON s.source IS NOT DISTINCT FROM g.source
+), readings AS (
+    SELECT doc_id, no, start + e * source_size AS f, least(start + e * source_size + size, words) AS t FROM placed, range(3) r(e) WHERE size > 0 AND start + e * source_size < words
+), pieces AS (
+    SELECT doc_id, no, f, t, unnest(range(f // block, (t - 1) // block + 1)) AS rank FROM readings, sums
+), used AS (
+    SELECT doc_id, sum(least(t, (rank + 1) * block) - greatest(f, rank * block))::BIGINT AS taken, min(slot) AS first_slot, count(*) AS n_pieces
+    FROM pieces JOIN slots USING (no, rank), sums GROUP BY doc_id
 )
-SELECT doc_id, size, source_size, target,
-    (greatest(least(words - start, size), 0) + greatest(least(words - start - source_size, size), 0)
-        + greatest(least(words - start - 2 * source_size, size), 0))::BIGINT AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot, coalesce(n_pieces, 0) AS n_pieces
+FROM placed LEFT JOIN used USING (doc_id)
 """
 
 

@@ -92,7 +92,7 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken, _ = mixing.mix(table(spark, sf_dir, "documents"))
-    return taken.select("doc_id", "size", "source_size", "target", "taken")
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_pieces")
 
 
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
