@@ -439,6 +439,44 @@ def brute_targets(sizes):
         fixed |= {s: 3 * sizes[s] for s in over}
 
 
+def assert_taken_by_slots(rows, got, targets, block, step):
+    """Every row's words, first slot and pieces from the slots, drawn one after the other."""
+    order = sorted(targets, key=lambda s: (s is None, s or ""))
+    streams = {s: [] for s in order}
+    for i, text, source in rows:
+        digest = hashlib.md5(text.encode()).hexdigest() if text is not None else ""
+        key = hashlib.md5(f"{'' if i is None else i}/{digest}".encode()).hexdigest()
+        streams[source].append((hashlib.md5(f"mix/{key}".encode()).hexdigest(), i, len(SPACE_WORD.findall(text or ""))))
+    total, whole = sum(n for s in order for *_, n in streams[s]), sum(targets.values())
+    highs = np.floor(np.cumsum([targets[s] for s in order]) / whole * 2**32).astype(np.int64)
+    slots = {s: [] for s in order}
+    for k in range(-(-total // block)):
+        slots[order[int(np.searchsorted(highs, k * step % 2**32, side="right"))]].append(k)
+    expected = Counter()
+    for s in order:
+        size = sum(n for *_, n in streams[s])
+        words, start = min(len(slots[s]) * block, 3 * size), 0
+        for _, i, n in sorted(streams[s], key=lambda r: r[0]):
+            spans = [(start + e * size, min(start + e * size + n, words)) for e in range(3) if n and start + e * size < words]
+            ranks = [r for a, b in spans for r in range(a // block, (b - 1) // block + 1)]
+            expected[i, s, n, sum(b - a for a, b in spans), min((slots[s][r] for r in ranks), default=None), len(ranks)] += 1
+            start += n
+    assert Counter((r["doc_id"], r["source"], r["size"], r["taken"], r["first_slot"], r["n_pieces"]) for r in got) == expected
+
+
+def test_mixing_where_one_id_holds_a_third(spark):
+    """Neither an id nor its texts meet in one bucket; equal rows travel as one."""
+    rows = [(7 if i % 3 == 0 else i, f"text number {i}" if i % 6 else "again and again", "hot" if i % 3 == 0 else f"s{i % 4}") for i in range(1200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(table, slots=512)[0].collect()
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    assert_taken_by_slots(rows, got, brute_targets(sizes), -(-sum(sizes.values()) // 512), mixing._STEP)
+    keys = {r["row_key"][:4] for r in got if r["doc_id"] == 7}
+    assert len(keys) > 150
+
+
 def test_mixing(spark, docs, nothing):
     rng = random.Random(2)
     rows = [(i, " ".join(["w"] * rng.randrange(40)), ("a", "b", "c", "d", None)[min(rng.randrange(9), 4)]) for i in range(400)]
@@ -457,12 +495,19 @@ def test_mixing(spark, docs, nothing):
         assert r["target"] == pytest.approx(expected[r["source"]])
         assert 0 <= r["taken"] <= 3 * r["size"]
         taken[r["source"]] += r["taken"]
+    # Within a few blocks of three words.
     for source, target in expected.items():
-        assert abs(taken[source] - target) <= 1
+        assert abs(taken[source] - target) <= 18
+    assert_taken_by_slots(rows, got, expected, -(-sum(sizes.values()) // 4096), mixing._STEP)
+    other, _ = mixing.mix(table, slots=4096, step=1)
+    other = other.collect()
+    assert_taken_by_slots(rows, other, expected, -(-sum(sizes.values()) // 4096), 1)
+    assert Counter(r["taken"] for r in other) != Counter(r["taken"] for r in got)
     again, _ = mixing.mix(table.repartition(2), slots=4096)
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, got))
     # Every prefix of the mix holds the sources close to their shares.
     source_of = {r["row_key"]: r["source"] for r in got}
+    assert sum(p["words"] for p in pieces.collect()) == sum(r["taken"] for r in got)
     blocks = Counter()
     total, off = 0, 0.0
     for slot in sorted(pieces.collect(), key=lambda p: p["slot"]):
