@@ -1,7 +1,7 @@
 """A corpus pipeline: documents through five stages, each a table that the next one reads.
 
 Every stage takes (spark, docs, sf_dir) and keeps the columns of documents, except for the last,
-which adds what the mix takes of each document.
+which returns the mix: a row for each reading of a document.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm import decontaminate, mixing, ngram_join, pii, quality_rules
 from tripflow.llm.tables import stored, table
+from tripflow.llm.words import space_words
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -74,14 +75,23 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with what the mix takes of each: size, source_size, target, taken in words."""
-    taken, _ = mixing.mix(docs)
-    place = Window.partitionBy("row_key").orderBy("taken")
-    # Equal rows of one id share a key; each gets one of the results.
-    numbered = taken.select("row_key", "size", "source_size", "target", "taken", F.row_number().over(place).alias("no"))
-    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text", "source").alias("row_key"))
-    keyed = keyed.withColumn("no", F.row_number().over(Window.partitionBy("row_key").orderBy("doc_id")))
-    return keyed.join(numbered, ["row_key", "no"]).select(*COLUMNS, "size", "source_size", "target", "taken")
+    """The mix: a row for each time it reads a document, with size, source_size, target, the words
+    ``taken`` by this ``reading`` (0, 1, 2) and the document's first_slot. Documents that no slot takes
+    are left out; a reading that ends with its source's last slot holds the words up to there, joined by
+    one space."""
+    # Told apart by all columns, so that rows of one key are equal and any of them will do.
+    named = docs.select(*COLUMNS, F.to_json(F.struct(*(c for c in COLUMNS if c != "text"))).alias("mix_id"))
+    taken = mixing.mix(named, id_column="mix_id")[0].where("taken > 0")
+    last = F.ceil(F.col("taken") / F.col("size")).cast("int") - 1
+    readings = taken.select("row_key", "size", "source_size", "target", "taken", "first_slot", F.explode(F.sequence(F.lit(0), last)).alias("reading"))
+    words = F.least("size", F.col("taken") - F.col("reading") * F.col("size")).alias("taken")
+    readings = readings.select("row_key", "size", "source_size", "target", words, "reading", "first_slot")
+    rows = named.withColumn("row_key", mixing.row_key("mix_id", "text")).drop("mix_id").dropDuplicates(["row_key"])
+    mixed = rows.join(readings, "row_key")
+    first = F.array_join(F.slice(space_words(F.col("text")), F.lit(1), F.col("taken").cast("int")), " ")
+    mixed = mixed.withColumn("text", F.when(F.col("taken") < F.col("size"), first).otherwise(F.col("text")))
+    mixed = mixed.withColumn("n_chars", F.length("text").cast("long"))
+    return mixed.select(*COLUMNS, "size", "source_size", "target", "taken", "reading", "first_slot")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
