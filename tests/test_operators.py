@@ -428,6 +428,18 @@ def test_nearest_of_few_and_of_none(spark):
         retrieval.nearest(documents, questions, "doc", "q", 21)
 
 
+def test_vectors_that_do_not_fit_are_an_error(spark):
+    """None vanishes from the result without a word."""
+    good = spark.createDataFrame([("a", [1.0, 0.0])], "doc string, vector array<double>")
+    asked = good.select(F.col("doc").alias("q"), "vector")
+    for bad in ([1.0], None):
+        wrong = spark.createDataFrame([("b", bad)], "doc string, vector array<double>")
+        with pytest.raises(ValueError, match="1 questions without"):
+            retrieval.nearest(good, asked.union(wrong), "doc", "q", 3, 2)
+        with pytest.raises(Exception, match="1 documents without"):
+            retrieval.nearest(good.union(wrong), asked, "doc", "q", 3, 2).collect()
+
+
 def test_answers_without_context(spark):
     questions = spark.createDataFrame([(1, "why?"), (2, "how?")], "question_id int, question string")
     hits = spark.createDataFrame(

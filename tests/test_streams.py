@@ -115,6 +115,38 @@ def test_late_rows_of_all_batches_are_counted(spark, tmp_path):
     assert found["late_rows"] == 28 - spark.read.schema("id string, t timestamp").parquet(str(tmp_path / "out")).count() == 12
 
 
+def test_an_id_with_a_third_of_the_rows(lake):
+    """Its copies are dropped lane by lane; a batch that runs again after its commit was lost repeats
+    and loses nothing."""
+    def publish(turn):
+        lake.publish(*[message(1000 * turn + i, "hot" if i % 3 == 0 else f"e{turn}-{i}", 30 + i % 20) for i in range(600)])
+
+    publish(0)
+    lake.run()
+    wanted = {"hot"} | {f"e0-{i}" for i in range(600) if i % 3}
+    assert lake.events() == sorted(wanted)
+    report = json.loads(sorted((lake_path(lake) / "progress").rglob("*-0.json"))[0].read_text())
+    last, first = report["stateOperators"]
+    lanes = lake.spark.sparkContext.defaultParallelism
+    # Lanes of the hot id, and the other ids once each.
+    assert first["numRowsTotal"] <= 400 + lanes and last["numRowsTotal"] == 401
+    assert last["customMetrics"]["numDroppedDuplicateRows"] == first["numRowsTotal"] - 401 <= lanes - 1
+
+    marks = lake_path(lake) / "marks/s/canonical_events/commits"
+    newest = max(int(f.name) for f in marks.iterdir() if f.name.isdigit())
+    for name in (f"{newest}", f".{newest}.crc"):
+        (marks / name).unlink()
+    publish(1)
+    lake.run()
+    assert lake.events() == sorted(wanted | {f"e1-{i}" for i in range(600) if i % 3})
+
+
+def lake_path(lake):
+    from pathlib import Path
+
+    return Path(lake.root)
+
+
 def test_unusable_copy_first_does_not_cost_the_usable_one(lake):
     lake.publish(message(0, "a", 5, city_id=None), message(1, "a", 5), message(2, "b", 200))
     lake.run()

@@ -1,4 +1,4 @@
-"""Contract checks of a frame, as one aggregation pass and two group-bys."""
+"""Contract checks of a frame in two passes: one for all conditions on rows, one for the key."""
 
 from __future__ import annotations
 
@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tripflow.functions import coerce
+from tripflow.session import fresh_dir
 
 log = logging.getLogger(__name__)
 
-# More distinct bad values than this are counted in a message instead of listed.
-LISTED_VALUES = 1000
+# Stands for the frame itself among the counted lines.
+_ALL_ROWS = "rows"
 
 
 class ContractViolation(ValueError):
@@ -89,32 +90,26 @@ def _line(check: str, column: str | Column, detail: Column) -> list[Column]:
     ]
 
 
-def violations(frame: DataFrame, contract: dict) -> DataFrame:
-    """One row per broken rule; one per distinct value for the allowed-value rules."""
-    conditions = _conditions(frame, contract)
-    parts = []
-    if conditions:
-        counts = frame.agg(
-            *[F.count_if(cond).alias(f"c{i}") for i, (_, _, cond) in enumerate(conditions)]
-        )
-        entries = F.array(
-            *[
-                F.struct(
-                    F.lit(check).alias("check_name"),
-                    F.lit(column).alias("column_name"),
-                    F.lit(None).cast("string").alias("detail"),
-                    F.col(f"c{i}").alias("rows"),
-                )
-                for i, (check, column, _) in enumerate(conditions)
-            ]
-        )
-        parts.append(
-            counts.select(F.inline(entries)).filter(F.col("rows") > 0)
-        )
+def _counted(frame: DataFrame, contract: dict) -> DataFrame:
+    """Rows per broken condition, per distinct value for the allowed-value rules, and of the frame:
+    every row is looked at once and names what it breaks."""
+    text = F.lit(None).cast("string")
+
+    def broken(check: str, column: str, condition: Column, detail: Column = text) -> Column:
+        return F.when(condition, F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), detail.alias("detail")))
+
+    entries = [broken(_ALL_ROWS, "", F.lit(True))]
+    entries += [broken(check, column, condition) for check, column, condition in _conditions(frame, contract)]
     for column, allowed in contract.get("quality_rules", {}).get("allowed", {}).items():
         if column in frame.columns:
-            bad = disallowed_values(frame, column, allowed)
-            parts.append(bad.select(*_line("allowed_values", column, F.col("value"))))
+            value = F.col(column).cast("string")
+            entries.append(broken("allowed_values", column, value.isNotNull() & ~value.isin(allowed), value))
+    named = frame.select(F.explode(F.array_compact(F.array(*entries))).alias("entry")).select("entry.*")
+    return named.groupBy("check_name", "column_name", "detail").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _lines(frame: DataFrame, contract: dict) -> DataFrame:
+    parts = [_counted(frame, contract)]
     key = contract.get("primary_key", [])
     if key and all(c in frame.columns for c in key):
         from tripflow.operators.dedup import repeated_row_count
@@ -132,6 +127,11 @@ def violations(frame: DataFrame, contract: dict) -> DataFrame:
     return result
 
 
+def violations(frame: DataFrame, contract: dict) -> DataFrame:
+    """One row per broken rule; one per distinct value for the allowed-value rules."""
+    return _lines(frame, contract).filter(F.col("check_name") != _ALL_ROWS)
+
+
 _MESSAGES = {
     "not_null": "Column '{column}' has {rows} null values",
     "non_negative": "Column '{column}' has {rows} negative values",
@@ -143,8 +143,15 @@ _MESSAGES = {
 
 
 def validate(frame: DataFrame, contract: dict) -> dict:
-    """Summary with one message per broken rule, in the order of the contract."""
-    found = violations(frame, contract)
+    """Summary with one message per broken rule, in the order of the contract.
+
+    The frame is evaluated twice. The violations lie in the folder the summary names, with every
+    value that isn't allowed; messages tell their number, so they stay short at any size.
+    """
+    path = fresh_dir(frame.sparkSession, "violations")
+    lines = _lines(frame, contract)
+    lines.write.parquet(path)
+    found = frame.sparkSession.read.schema(lines.schema).parquet(path)
     by_rule = (
         found.filter(F.col("check_name") != "required_column")
         .groupBy("check_name", "column_name")
@@ -165,7 +172,10 @@ def validate(frame: DataFrame, contract: dict) -> dict:
     for column in contract.get("quality_rules", {}).get("allowed", {}):
         rule = ("allowed_values", column)
         if rule in rules:
-            errors.append(_allowed_message(found, column, rules[rule]["lines"]))
+            errors.append(
+                f"Column '{column}' has {rules[rule]['lines']} distinct disallowed values "
+                f"in {rules[rule]['rows']} rows"
+            )
     key = contract.get("primary_key", [])
     rule = ("primary_key", ",".join(key))
     if rule in rules:
@@ -175,26 +185,15 @@ def validate(frame: DataFrame, contract: dict) -> dict:
             errors.append(_MESSAGES[rule[0]].format(column=rule[1], rows=rules[rule]["rows"]))
     return {
         "valid": not errors,
-        "row_count": frame.count(),
+        "row_count": rules[_ALL_ROWS, ""]["rows"] if (_ALL_ROWS, "") in rules else 0,
         "error_count": len(errors),
         "errors": errors,
         "contract_name": contract.get("contract_name"),
         "contract_version": contract.get("version"),
+        "violations": path,
     }
 
 
-def _allowed_message(found: DataFrame, column: str, distinct: int) -> str:
-    if distinct > LISTED_VALUES:
-        return (
-            f"Column '{column}' has {distinct} distinct disallowed values; "
-            "violations() holds all of them"
-        )
-    lines = found.filter(
-        (F.col("check_name") == "allowed_values") & (F.col("column_name") == column)
-    ).select("detail")
-    return f"Column '{column}' has disallowed values: {sorted(r[0] for r in lines.collect())}"
-
-
 def gate(frame: DataFrame, contract: dict, mode: str = "enforce") -> dict:
     """Validate; raise in ``enforce`` mode, log in ``warn`` mode."""
     summary = validate(frame, contract)

@@ -48,10 +48,12 @@ def _nearest_in_block(
         # Distances in millionths and document ids of the best so far, a row per question.
         best, best_ids = None, None
         for batch in batches:
-            fits = pc.equal(pc.list_value_length(batch.column(1)), dim)
-            batch = batch.filter(pc.fill_null(fits, False))
             if batch.num_rows == 0:
                 continue
+            fits = pc.fill_null(pc.equal(pc.list_value_length(batch.column(1)), dim), False)
+            if not pc.all(fits).as_py():
+                unfit = batch.column(0).filter(pc.invert(fits))
+                raise ValueError(f"{len(unfit)} documents without a vector of {dim} places, such as {unfit[0]}")
             ids = np.asarray(batch.column(0).to_pylist())
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             vectors = flat.reshape(batch.num_rows, dim)
@@ -117,12 +119,10 @@ def nearest(
 ) -> DataFrame:
     """The k documents with the smallest cosine distance per question.
 
-    Both sides hold an id and a ``vector`` of ``dim`` places; other vectors do
-    not take part. Distances are rounded to six places and ties go to the smaller
-    document id. Documents never move: the questions visit them, in blocks of
-    bounded size. A single block stays a lazy plan; several are worked off one
-    after the other, each leaving its candidates in the shared folder before the
-    next is read.
+    Both sides hold an id and a ``vector`` of ``dim`` places; any other vector is an error. Distances are
+    rounded to six places and ties go to the smaller document id. Documents never move: the questions
+    visit them, in blocks of bounded size, worked off one after the other; each leaves its candidates in
+    the shared folder before the next is read.
     """
     if not 1 <= k <= MAX_TOP_K:
         raise ValueError(f"k must lie between 1 and {MAX_TOP_K}")
@@ -135,19 +135,25 @@ def nearest(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    sized = questions.filter(F.size("vector") == dim)
-    fitting = max(1, block_bytes // (8 * dim))
-    ids, matrix = _collect_block(sized.limit(fitting + 1), question)
-    if not ids:
+    asked = questions.select(question, "vector").distinct()
+    fits = F.coalesce(F.size("vector") == dim, F.lit(False))
+    count, unfit = asked.agg(F.count(F.lit(1)), F.count_if(~fits)).first()
+    if unfit:
+        raise ValueError(f"{unfit} questions without a vector of {dim} places")
+    if not count:
         return _ranked(spark.createDataFrame([], result_schema), question, doc, k)
-    if len(ids) <= fitting:
-        scored = _nearest_in_block(documents, ids, matrix, question, doc, k, kind)
-        return _ranked(scored, question, doc, k)
-    # Hashing spreads ids unevenly, so blocks are cut twice as fine as the bound asks.
-    blocks = -(-2 * sized.count() // fitting)
+    fitting = max(1, block_bytes // (8 * dim))
+    # Hashing spreads questions unevenly, so several blocks are cut twice as fine as the bound asks.
+    blocks = 1 if count <= fitting else -(-2 * count // fitting)
+    if blocks > 1:
+        # Vectors are made once, not once per block.
+        made = fresh_dir(spark, "vectors")
+        vectors = documents.select(doc, "vector")
+        vectors.write.parquet(made)
+        documents = spark.read.schema(vectors.schema).parquet(made)
     folder = fresh_dir(spark, "nearest")
     for number in range(blocks):
-        share = sized.filter(F.pmod(F.xxhash64(question), F.lit(blocks)) == number)
+        share = asked.filter(F.pmod(F.xxhash64(question, "vector"), F.lit(blocks)) == number)
         ids, matrix = _collect_block(share, question)
         if not ids:
             continue

@@ -58,7 +58,8 @@ def _payment_amount() -> Column:
     return coerce.to_double(F.coalesce(F.when(~unusable, named), _field("amount")))
 
 
-def to_canonical(bronze: DataFrame) -> DataFrame:
+def to_canonical(bronze: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
+    """Canonical columns; ``extra`` adds columns of the envelope after them."""
     columns = {
         "source_topic": F.col("topic"),
         "bronze_entity": F.col("bronze_entity"),
@@ -79,6 +80,7 @@ def to_canonical(bronze: DataFrame) -> DataFrame:
         else:
             value = _field(field.name)
         chosen.append(value.alias(field.name))
+    chosen += [column.alias(name) for name, column in (extra or {}).items()]
     return with_payload(bronze).select(*chosen)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.operators.validity import quarantined_rows, valid_rows
@@ -14,14 +14,26 @@ from tripflow.streaming.run import append_parquet, gathered
 PARTITIONS = ["event_date", "city_id"]
 
 
+LANE = "_lane"
+
+
+def message_lane(lanes: int) -> Column:
+    """One of ``lanes`` numbers by the place of a message in its topic, which copies of an event don't share."""
+    return F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(lanes))
+
+
 def usable_events(canonical: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Filter first, so that an unusable copy cannot displace a usable one; then keep one
-    copy per event id. The state of an id ends once the watermark has passed it."""
-    return (
-        valid_rows(canonical)
-        .withWatermark("event_time", watermark)
-        .dropDuplicatesWithinWatermark(["event_id"])
-    )
+    copy per event id. The state of an id ends once the watermark has passed it.
+
+    Where rows have a lane, copies are dropped per id and lane first: the copies of an id that
+    fills a stream are spread over as many tasks as there are lanes, and one per lane meets in
+    the task of the id.
+    """
+    rows = valid_rows(canonical).withWatermark("event_time", watermark)
+    if LANE in canonical.columns:
+        rows = rows.dropDuplicatesWithinWatermark(["event_id", LANE]).drop(LANE)
+    return rows.dropDuplicatesWithinWatermark(["event_id"])
 
 
 def start(
@@ -37,9 +49,11 @@ def start(
 ) -> list[StreamingQuery]:
     """``files_per_partition`` bounds the files a micro-batch adds to a day and city; without it a
     busy one spreads over all tasks."""
-    canonical = to_canonical(stream_bronze(spark, bronze_root, max_files))
-    lanes = files_per_partition or state_partitions or spark.sparkContext.defaultParallelism
-    usable = usable_events(canonical, watermark)
+    bronze = stream_bronze(spark, bronze_root, max_files)
+    width = state_partitions or spark.sparkContext.defaultParallelism
+    canonical = to_canonical(bronze)
+    lanes = files_per_partition or width
+    usable = usable_events(to_canonical(bronze, {LANE: message_lane(width)}), watermark)
     return [
         append_parquet(
             gathered(usable, PARTITIONS, lanes, "event_id"),
