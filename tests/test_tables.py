@@ -191,6 +191,23 @@ def test_catalog_relations(spark):
     assert report.catalog_relations(spark, include_views=True)["tripflow_pairs"].count() == 1
 
 
+def test_inventory_counts_what_cannot_be_read_as_null(spark, staging, tmp_path):
+    import shutil
+
+    from tripflow.jobs import Warehouse
+
+    house = Warehouse(spark, str(tmp_path))
+    for name in ("dim_city", "dim_rider"):
+        house.snapshot(name).replace(pairs(spark, [("a", 1)]))
+    house.fact("fact_trip").load(staging(event(1, "t1", start(1))))
+    shutil.rmtree(house.snapshot("dim_rider").path)
+    frames, paths = house.relations()
+    assert frames["dim_rider"] is None and set(paths) == {"dim_city", "fact_trip"}
+    listed = {r["relation"]: r for r in report.inventory(spark, frames, paths).collect()}
+    assert {n: r["row_count"] for n, r in listed.items()} == {"dim_city": 1, "dim_rider": None, "fact_trip": 1}
+    assert listed["dim_rider"]["size_bytes"] is None and listed["fact_trip"]["size_bytes"] > 0
+
+
 def silver_rows(spark, staging, *rows):
     return conform(staging(*rows), schemas.SILVER)
 

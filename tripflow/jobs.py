@@ -13,6 +13,7 @@ import sys
 import time
 import uuid
 from datetime import datetime, timedelta, timezone
+from string import Formatter
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -26,10 +27,10 @@ from tripflow.plans import dimensions, facts, features, gold, models, opendata,
 from tripflow.session import build_session
 from tripflow.sinks.backfill import backfill_silver
 from tripflow.sinks.incremental import IncrementalFact
-from tripflow.sinks.report import inventory, write_csv
+from tripflow.sinks.report import inventory, readable, write_csv
 from tripflow.sinks.snapshots import SnapshotTable, folder_exists
 from tripflow.sources.corpus import with_document_ids
-from tripflow.sources.lake import read_layer, read_silver, read_source_file
+from tripflow.sources.lake import read_layer, read_query, read_silver, read_source_file
 from tripflow.streaming import bronze, gold as gold_stream, silver
 from tripflow.streaming.run import ProgressLog, await_all
 
@@ -42,6 +43,7 @@ DIMENSIONS = {
     "dim_promotion": dimensions.dim_promotion,
     "dim_payment_method": dimensions.dim_payment_method,
 }
+MART = "mart_city_daily_kpis"
 STORES = {
     "fraud_cases": (store.fraud_cases, "fraud_case_id"),
     "support_tickets": (store.support_tickets, "support_ticket_id"),
@@ -69,28 +71,32 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.fact(name).read() if name in facts.FACTS else self.snapshot(name).read()
 
-    def relations(self) -> tuple[dict[str, DataFrame], dict[str, str]]:
-        """What has been written, by name: frames, and the folders of their current content."""
+    def relations(self) -> tuple[dict[str, DataFrame | None], dict[str, str]]:
+        """What has been written, by name: frames, None where one can't be read, and the folders of the
+        current content of those that can."""
         snapshots = [
             "staging", *DIMENSIONS, *dict.fromkeys(FEATURES_OF.values()),
             *(f"scores_{name}" for name in models.MODELS), *(f"store_{name}" for name in STORES),
             "document_index",
         ]
         paths = {n: self.snapshot(n).path for n in snapshots if self.snapshot(n).exists()}
-        frames = {name: self.read(name) for name in paths}
-        for name in facts.FACTS:
-            if self.fact(name).loaded():
-                frames[name], paths[name] = self.read(name), self.fact(name).path
+        paths |= {n: self.fact(n).path for n in facts.FACTS if self.fact(n).loaded()}
+        frames = {name: readable(lambda name=name: self.read(name)) for name in paths}
         for name, schema in (("run_log", schemas.RUN_EVENT), ("quality_log", schemas.QUALITY_RESULT)):
             path = f"{self.root}/{name}"
             if folder_exists(self.spark, path):
                 frames[name], paths[name] = self.spark.read.schema(schema).parquet(path), path
-        return frames, paths
+        return frames, {name: path for name, path in paths.items() if frames[name] is not None}
 
     def mart(self) -> DataFrame:
         """A view: computed from staging whenever it is read."""
         return gold.city_daily_kpis(self.read("staging"))
 
+    def sql(self, query: str) -> DataFrame:
+        """SQL over the current versions, written ``{name}``: what a job wrote, or the mart."""
+        names = {name for _, name, _, _ in Formatter().parse(query) if name}
+        return read_query(self.spark, query, {n: self.mart() if n == MART else self.read(n) for n in names})
+
     def log(self, run_id: str, job: str, status: str, details: dict) -> None:
         line = audit.entry(
             self.spark, run_id, job, job.split("-")[0], status, _utc_now(), json.dumps(details)
@@ -277,6 +283,11 @@ def run_inventory(spark, args) -> dict:
     return {"relations": len(frames)}
 
 
+def run_query(spark, args) -> dict:
+    Warehouse(spark, args.warehouse).sql(args.sql).write.mode("overwrite").parquet(args.output)
+    return {}
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__.split("\n")[0])
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -326,6 +337,7 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--top-k", type=int, default=settings.DEFAULT_TOP_K)
     one.add_argument("--city-id")
     job("inventory", run_inventory, "warehouse", "output")
+    job("query", run_query, "warehouse", "sql", "output")
     return parser
 
 

@@ -1196,6 +1196,20 @@ _oracle(
 
 # Inventory and streams -------------------------------------------------------
 
+_oracle(
+    "inventory_of_stored_tables", "fact_payment dim_city",
+    "\nunion all\n".join(
+        f"select 'lake' as schema, '{name}' as relation, 'BASE TABLE' as type, count(*) as row_count from {source}"
+        for name, source in (("staging", "stg"), ("dim_city", "dim_city"), ("fact_payment", "fact_payment"))
+    ),
+)
+_oracle(
+    "named_trips_by_city", "fact_trip dim_city mart",
+    """select c.city_name, m.event_date, m.completed_trips, count(*) as trips, count(distinct f.trip_id) as trip_ids
+       from fact_trip f join dim_city c on c.city_key = f.city_key
+         join mart m on m.city_id = c.city_id and m.event_date = cast(f.created_at as date)
+       group by all""",
+)
 _oracle(
     "table_inventory", "",
     "\nunion all\n".join(

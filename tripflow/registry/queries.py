@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripflow import settings
 from tripflow.functions import calendar
+from tripflow.jobs import Warehouse
 from tripflow.operators import (
     audit, contracts, dedup, embeddings, quality, retrieval, upsert, validity,
 )
@@ -906,7 +907,38 @@ def monitor_latency_alerts(spark, sf_dir):
 
 @query
 def table_inventory(spark, sf_dir):
-    return report.row_counts({name: _table(spark, sf_dir, name) for name in tables.TABLES})
+    return report.row_counts(spark, {name: _table(spark, sf_dir, name) for name in tables.TABLES})
+
+
+@query
+def inventory_of_stored_tables(spark, sf_dir):
+    """Counts of what jobs have written below one folder, by current version."""
+    house = Warehouse(spark, fresh_dir(spark, "house"))
+    staging = staged_events(spark, sf_dir)
+    house.snapshot("staging").replace(staging, ["event_date", "city_id"])
+    house.snapshot("dim_city").replace(dimensions.dim_city(staging))
+    house.fact("fact_payment").load(staging)
+    frames, paths = house.relations()
+    return report.inventory(spark, frames, paths).drop("size_bytes")
+
+
+# Names -----------------------------------------------------------------------
+
+
+@query
+def named_trips_by_city(spark, sf_dir):
+    """Stored relations and the mart, a view, by name from SQL."""
+    house = Warehouse(spark, fresh_dir(spark, "house"))
+    staging = staged_events(spark, sf_dir)
+    house.snapshot("staging").replace(staging, ["event_date", "city_id"])
+    house.snapshot("dim_city").replace(dimensions.dim_city(staging))
+    house.fact("fact_trip").load(staging)
+    return house.sql(
+        """select c.city_name, m.event_date, m.completed_trips, count(*) as trips, count(distinct f.trip_id) as trip_ids
+           from {fact_trip} f join {dim_city} c on c.city_key = f.city_key
+             join {mart_city_daily_kpis} m on m.city_id = c.city_id and m.event_date = to_date(f.created_at)
+           group by c.city_name, m.event_date, m.completed_trips"""
+    )
 
 
 # Streams ---------------------------------------------------------------------

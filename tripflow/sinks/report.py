@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def row_counts(relations: dict[str, DataFrame], schema: str = "lake", kind: str = "BASE TABLE"):
-    """One row per relation with its count."""
+def row_counts(
+    spark: SparkSession, relations: dict[str, DataFrame | None], schema: str = "lake", kind: str = "BASE TABLE"
+) -> DataFrame:
+    """One row per relation with its count; NULL for one that cannot be read."""
     result = None
     for name, frame in relations.items():
-        one = frame.agg(F.count(F.lit(1)).alias("row_count")).select(
+        if frame is None:
+            counted = spark.range(1).select(F.lit(None).cast("bigint").alias("row_count"))
+        else:
+            counted = frame.agg(F.count(F.lit(1)).alias("row_count"))
+        one = counted.select(
             F.lit(schema).alias("schema"), F.lit(name).alias("relation"),
             F.lit(kind).alias("type"), "row_count",
         )
@@ -33,7 +42,7 @@ def folder_size(spark: SparkSession, path: str) -> DataFrame:
 
 def inventory(
     spark: SparkSession,
-    relations: dict[str, DataFrame],
+    relations: dict[str, DataFrame | None],
     paths: dict[str, str],
     schema: str = "lake",
     kind: str = "BASE TABLE",
@@ -43,7 +52,7 @@ def inventory(
     for name, path in paths.items():
         one = folder_size(spark, path).select(F.lit(name).alias("relation"), "size_bytes")
         sizes = one if sizes is None else sizes.unionByName(one)
-    counts = row_counts(relations, schema, kind)
+    counts = row_counts(spark, relations, schema, kind)
     if sizes is None:
         return counts.withColumn("size_bytes", F.lit(None).cast("bigint"))
     return counts.join(sizes, "relation", "left").select(
@@ -51,13 +60,22 @@ def inventory(
     )
 
 
-def catalog_relations(spark: SparkSession, include_views: bool = False) -> dict[str, DataFrame]:
-    """Tables of the current database; one that cannot be read is left out."""
+def readable(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The relation, or None if Spark cannot open it: files gone, no schema to be found, a marker
+    without its folder."""
+    try:
+        return read()
+    except (PySparkException, Py4JJavaError, FileNotFoundError):
+        return None
+
+
+def catalog_relations(spark: SparkSession, include_views: bool = False) -> dict[str, DataFrame | None]:
+    """Tables of the current database; one that cannot be read is None and counts as NULL."""
     found = {}
     for entry in spark.catalog.listTables():
         if entry.tableType in ("VIEW", "TEMPORARY") and not include_views:
             continue
-        found[entry.name] = spark.table(entry.name)
+        found[entry.name] = readable(lambda name=entry.name: spark.table(name))
     return found
 
 

@@ -53,11 +53,6 @@ def read_source_file(spark: SparkSession, path: str, schema: StructType | None =
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
-def register_views(frames: dict[str, DataFrame]) -> None:
-    """Make models addressable by name from SQL."""
-    for name, frame in frames.items():
-        frame.createOrReplaceTempView(name)
-
-
-def read_query(spark: SparkSession, sql: str) -> DataFrame:
-    return spark.sql(sql)
+def read_query(spark: SparkSession, sql: str, relations: dict[str, DataFrame]) -> DataFrame:
+    """SQL over relations by name, written ``{name}``; names hold for this query alone."""
+    return spark.sql(sql, **relations)
