@@ -11,6 +11,7 @@ from tripflow.operators.conform import conform
 from tripflow.plans import facts
 from tripflow.sinks import report
 from tripflow.sinks.backfill import backfill_silver
+from tripflow.sinks.buckets import BucketedTable
 from tripflow.sinks.incremental import IncrementalFact
 from tripflow.sinks.snapshots import SnapshotTable
 from tripflow.sources.lake import read_layer, read_silver, read_source_file
@@ -191,6 +192,51 @@ def test_catalog_relations(spark):
     assert report.catalog_relations(spark, include_views=True)["tripflow_pairs"].count() == 1
 
 
+def test_bucketed_table_rewrites_touched_buckets_only(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path), ["k"], buckets=16)
+    table.upsert(pairs(spark, [(f"k{i}", i) for i in range(400)]))
+
+    def files():
+        return {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in (tmp_path / "data").glob("_bucket=*")}
+
+    before = files()
+    assert len(before) == 16
+    table.upsert(pairs(spark, [("k7", 70), ("new", 1)]))
+    changed = {b for b, f in files().items() if before[b] != f}
+    assert 1 <= len(changed) <= 2
+    plan = table.held([3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    rows = dict(map(tuple, table.read().collect()))
+    assert rows == {f"k{i}": i for i in range(400)} | {"k7": 70, "new": 1}
+    table.insert_absent(pairs(spark, [("k7", 0), ("k8", 0), ("other", 2)]))
+    assert dict(map(tuple, table.read().collect())) == rows | {"other": 2}
+    # A field that is new, and one that an update doesn't carry.
+    table.set_fields(spark.createDataFrame([("k8", True)], "k string, flag boolean"))
+    found = {r["k"]: r for r in table.read().collect()}
+    assert (found["k8"]["v"], found["k8"]["flag"], found["k9"]["flag"]) == (8, True, None)
+    # Null keys and an empty load.
+    table.upsert(pairs(spark, [(None, 5)]).limit(0).unionByName(pairs(spark, [("z", 5)])))
+    table.upsert(pairs(spark, [("a", 1)]).limit(0))
+    assert table.read().count() == 403 and not list((tmp_path / "changes").iterdir())
+
+
+def test_bucketed_table_finishes_a_load_that_died(spark, tmp_path, monkeypatch):
+    table = BucketedTable(spark, str(tmp_path), ["k"], buckets=4)
+    table.upsert(pairs(spark, [("a", 1), ("b", 2)]))
+
+    def die():
+        raise RuntimeError("lost driver")
+
+    calls = iter([table.apply_pending, die])
+    monkeypatch.setattr(table, "apply_pending", lambda: next(calls)())
+    with pytest.raises(RuntimeError):
+        table.upsert(pairs(spark, [("b", 3)]))
+    monkeypatch.undo()
+    assert dict(map(tuple, table.read().collect())) == {"a": 1, "b": 2}
+    table.insert_absent(pairs(spark, [("b", 9), ("c", 4)]))
+    assert dict(map(tuple, table.read().collect())) == {"a": 1, "b": 3, "c": 4}
+
+
 def test_inventory_counts_what_cannot_be_read_as_null(spark, staging, tmp_path):
     import shutil
 

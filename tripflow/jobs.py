@@ -26,6 +26,7 @@ from tripflow.operators.conform import to_staging
 from tripflow.plans import dimensions, facts, features, gold, models, opendata, store
 from tripflow.session import build_session
 from tripflow.sinks.backfill import backfill_silver
+from tripflow.sinks.buckets import BucketedTable
 from tripflow.sinks.incremental import IncrementalFact
 from tripflow.sinks.report import inventory, readable, write_csv
 from tripflow.sinks.snapshots import SnapshotTable, folder_exists
@@ -50,6 +51,9 @@ STORES = {
     "rider_app_sessions": (store.rider_sessions, "session_id"),
 }
 
+# Tables that are merged by key, and their keys.
+KEYED = {f"store_{name}": key for name, (_, key) in STORES.items()} | {"document_index": "id"}
+
 
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -68,7 +72,12 @@ class Warehouse:
     def fact(self, name: str) -> IncrementalFact:
         return IncrementalFact(self.spark, name, f"{self.root}/facts")
 
+    def keyed(self, name: str) -> BucketedTable:
+        return BucketedTable(self.spark, f"{self.root}/{name}", [KEYED[name]])
+
     def read(self, name: str) -> DataFrame:
+        if name in KEYED:
+            return self.keyed(name).read()
         return self.fact(name).read() if name in facts.FACTS else self.snapshot(name).read()
 
     def relations(self) -> tuple[dict[str, DataFrame | None], dict[str, str]]:
@@ -76,10 +85,10 @@ class Warehouse:
         current content of those that can."""
         snapshots = [
             "staging", *DIMENSIONS, *dict.fromkeys(FEATURES_OF.values()),
-            *(f"scores_{name}" for name in models.MODELS), *(f"store_{name}" for name in STORES),
-            "document_index",
+            *(f"scores_{name}" for name in models.MODELS),
         ]
         paths = {n: self.snapshot(n).path for n in snapshots if self.snapshot(n).exists()}
+        paths |= {n: self.keyed(n).path for n in KEYED if self.keyed(n).exists()}
         paths |= {n: self.fact(n).path for n in facts.FACTS if self.fact(n).loaded()}
         frames = {name: readable(lambda name=name: self.read(name)) for name in paths}
         for name, schema in (("run_log", schemas.RUN_EVENT), ("quality_log", schemas.QUALITY_RESULT)):
@@ -237,8 +246,8 @@ def run_score(spark, args) -> dict:
 def run_stores(spark, args) -> dict:
     warehouse = Warehouse(spark, args.warehouse)
     staging = warehouse.read("staging")
-    for name, (build, key) in STORES.items():
-        warehouse.snapshot(f"store_{name}").set_fields(build(staging), [key])
+    for name, (build, _) in STORES.items():
+        warehouse.keyed(f"store_{name}").set_fields(build(staging))
     return {"collections": len(STORES)}
 
 
@@ -255,12 +264,12 @@ def run_quality(spark, args) -> dict:
 
 def run_index(spark, args) -> dict:
     corpus = with_document_ids(read_layer(spark, args.input, schemas.CORPUS))
-    index = Warehouse(spark, args.warehouse).snapshot("document_index")
+    index = Warehouse(spark, args.warehouse).keyed("document_index")
     if index.exists():
         # Only new documents are hashed.
         corpus = corpus.join(index.read().select("id"), "id", "left_anti")
     vectors = embeddings.hash_vectors(corpus, "id", "text")
-    index.insert_absent(corpus.join(vectors, "id"), ["id"])
+    index.insert_absent(corpus.join(vectors, "id"))
     return {"indexed_docs_total": index.read().count()}
 
 
