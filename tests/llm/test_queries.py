@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 
@@ -9,7 +10,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from tripflow.llm import pii, quality_rules
+from tripflow.llm import pii
 from tripflow.llm.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -55,6 +56,26 @@ def test_personal_data_query_against_the_expressions(spark):
         assert set(listed.split(",")) <= set(r["spans"].split(","))
 
 
+def test_secret_query_against_the_expressions(spark):
+    """Counts, digest and spans of every document, with each expression run over the whole text."""
+    from tests_llm_brute import SECRET_BRUTE as SECRETS
+
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    some = Counter()
+    for r in QUERIES["op6_secret_scan"](spark, SF).collect():
+        base = []
+        for k, (expression, accept) in SECRETS.items():
+            base += [(m.start(), list(SECRETS).index(k), k, m.end()) for m in re.finditer(expression, texts[r["doc_id"]], re.ASCII) if accept(m)]
+        listed = [f"{k}:{start}:{end}" for start, _, k, end in sorted(base)]
+        for k in SECRETS:
+            assert r[f"n_{k}"] == sum(x[2] == k for x in base)
+            some[k] += r[f"n_{k}"]
+        assert r["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert [x for x in spans if not x.startswith("checked:")] == listed
+    assert all(some[k] for k in SECRETS)
+
+
 def test_page_text_query_holds_the_articles(spark):
     """The pages have one article each, of headings and paragraphs."""
     import html
@@ -102,7 +123,8 @@ def test_pipeline_stage_by_stage(spark, con):
     docs, good, single, clean, redacted, mixed = stages(spark, spark.read.parquet(f"{SF}/documents.parquet"))
     for frame in (good, single, clean, redacted):
         assert frame.columns == list(corpus_pipeline.COLUMNS)
-    kept = {r["doc_id"] for r in quality_rules.judge(docs).where("quality.kept").collect()}
+    # The rules in SQL, over the same documents.
+    kept = {i for i, good in con.execute(f"SELECT doc_id, kept FROM ({ORACLES['op2_quality_rules']})").fetchall() if good}
     rows = {r["doc_id"]: tuple(r) for r in docs.collect()}
     assert Counter(map(tuple, good.collect())) == Counter(rows[i] for i in kept)
     classes = brute_classes([(i, rows[i][1]) for i in sorted(kept)])
