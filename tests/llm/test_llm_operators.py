@@ -126,8 +126,13 @@ def test_ngram_join(docs, nothing):
     assert ngram_join.ngram_classes(nothing, bits=BITS).collect() == []
 
 
-def test_ngram_join_of_a_large_group_and_chains(spark):
-    """Near copies of one text, each changed elsewhere; copies of copies; sizes at the bound."""
+@pytest.mark.parametrize(("tile_rows", "blocks", "central"), [(256, 4, 2), (3, 7, 0)])
+def test_ngram_join_of_a_large_group_and_chains(spark, monkeypatch, tile_rows, blocks, central):
+    """Near copies of one text, each changed elsewhere; copies of copies; sizes at the bound. Also
+    where columns are cut into many tiles, and all links come from the block of leading columns."""
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", tile_rows)
+    monkeypatch.setattr(ngram_join, "COLUMN_BLOCKS", blocks)
+    monkeypatch.setattr(ngram_join, "CENTRAL_ROUNDS", central)
     rng = random.Random(3)
     base = text_of(9, 150, 10_000).split()
     rows, now = [], base

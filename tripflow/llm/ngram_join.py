@@ -1,19 +1,21 @@
-"""N-gram Jaccard join: a prefix and positional filter join over the sparse document by n-gram
-incidence matrix, with exact verification.
-
-A row of the matrix is the set of a document's shingles, as 64-bit hashes. Only pairs matter that
-share as many shingles as their sizes imply: with sizes a and b, ``t / (1 + t) * (a + b)``. No product
-of the matrix with its transpose is computed; its columns are taken from rare to frequent:
-
-1. columns with one entry. They link nothing. A merged sketch of all hashes tells which columns
-   can have several; a row with fewer than ``t * a`` entries there links with nothing and leaves
-   the matrix, as do rows equal to another.
-2. the leading columns of each row in order of rarity. Two rows that share none of them can't reach
-   the bound. For the first column that they share, what both rows have from there on must reach it
-   too, or the pair goes.
-3. all columns, for pairs that are left. Their whole sets are intersected, and those below the bound go.
-
-A column with many entries would give all pairs of them. So it is first joined with its most
+"""N-gram Jaccard join: the product of the sparse document by n-gram incidence matrix with its
+transpose, computed in blocks, overlap counts added up and pairs below their bound discarded.
+
+A row of the matrix is the set of a document's shingles, as 64-bit hashes. Sets of sizes a and b link
+from an overlap of ``t / (1 + t) * (a + b)`` on, so a pair is discarded as soon as its count and what
+both rows still have in columns not multiplied yet stay below that. Columns with one entry count for
+nothing. A merged sketch of all hashes tells which can have several; a row with fewer than ``t * a``
+entries there links with nothing and leaves the matrix, as do rows equal to another. The others are
+multiplied in blocks of columns:
+
+1. the leading columns of each row, in order of rarity. Two rows that share none of them can't reach
+   the bound, so this block yields all pairs there are. A column with many entries is cut into tiles of
+   rows, and each pair of tiles is multiplied apart. A task writes a partial count for each column and
+   pair; they are summed by pair.
+2. all columns, cut into blocks by their hash. For the pairs that are left, one block after the other
+   is multiplied and added to the count, leaving out what the first block has counted.
+
+A column with many entries would give all pairs of them. So it is first multiplied with its most
 central row alone (the one with the fewest rare columns), and rows linked by that are put into one
 component. Only pairs across components are counted after that; within one, more links can't change
 the result. Nothing is left out: a column is finished when its rows are one component, and all other
@@ -39,6 +41,10 @@ SHINGLE = 5
 SIMILARITY = (80, 100)
 # Joins with one central row per column before all pairs of a column are taken.
 CENTRAL_ROUNDS = 2
+# Blocks of columns, by hash. A pair of which a ninth or more of either row is missing goes.
+COLUMN_BLOCKS = 4
+# Rows of a column in a tile, on average.
+TILE_ROWS = 256
 
 _ROWS = "row_id long, n long, c1 long, c2 long, grams array<long>"
 
@@ -104,7 +110,13 @@ def _bound(a: Column | str, b: Column | str, overlap: Column | str, similarity:
 
 
 def _matrix(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """One row per set: (r, n, u, grams), grams in order of rarity. u: entries in columns of one entry."""
+    """One row per set: (r, n, u, lead, short, heads, g0, p0, q0, g1, ...).
+
+    u: entries in columns of one entry. heads: (df, gram) of the ``lead`` leading columns, in order of
+    rarity. Among the first ``short`` of them a match must be if the other set is no smaller. gK: the
+    row's columns in block K, in order of rarity, the first pK and qK of them among ``short`` and ``lead``.
+    """
+    low, high = similarity
     distinct = (
         rows.where("grams is not null")
         .groupBy("c1", "c2")
@@ -116,75 +128,139 @@ def _matrix(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     ordered = (
         entries.join(frequent, "gram")
         .groupBy("r")
-        .agg(F.any_value("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("grams"))
-        .where(similarity[1] * F.size("grams") >= similarity[0] * F.col("n"))
+        .agg(F.any_value("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("columns"))
+        .where(high * F.size("columns") >= low * F.col("n"))
+        .withColumn("u", F.col("n") - F.size("columns"))
     )
-    return stored(ordered.select("r", "n", (F.col("n") - F.size("grams")).alias("u"), F.col("grams.gram").alias("grams")), "ngram-matrix")
+    lead = F.col("n") - F.ceil(low * F.col("n") / high) + 1 - F.col("u")
+    short = F.col("n") - F.ceil(2 * low * F.col("n") / (low + high)) + 1 - F.col("u")
+    ordered = ordered.select(
+        "r", "n", "u", F.greatest(lead, F.lit(0)).cast("int").alias("lead"), F.greatest(short, F.lit(0)).cast("int").alias("short"),
+        F.col("columns.gram").alias("grams"), "columns",
+    )
+    ordered = ordered.withColumn("heads", F.slice("columns", F.lit(1), F.col("lead"))).drop("columns")
+    for k in range(COLUMN_BLOCKS):
+        ordered = (
+            ordered.withColumn(f"g{k}", _in_block(F.col("grams"), k))
+            .withColumn(f"p{k}", F.size(_in_block(F.slice("grams", F.lit(1), F.col("short")), k)))
+            .withColumn(f"q{k}", F.size(_in_block(F.slice("grams", F.lit(1), F.col("lead")), k)))
+        )
+    return stored(ordered.drop("grams"), "ngram-matrix")
+
 
+def _in_block(grams: Column, block: int) -> Column:
+    return F.filter(grams, lambda g: F.pmod(g, F.lit(COLUMN_BLOCKS)) == block)
 
-def _leading(matrix: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Entries in the leading columns: (gram, r, n, u, place, small).
 
-    ``place`` is the place of the column among those of the row, counted from 0 in order of rarity.
+def _leading(matrix: DataFrame) -> DataFrame:
+    """Entries in the leading columns: (gram, tiles, tile, r, n, u, at, lead, short, lastlead, lastshort).
 
-    ``small`` marks columns among which a match must be if the other set is no smaller.
+    ``at`` is the place of the column among those of the row, counted from 0 in order of rarity; the
+    last leading and the last short column are given as (df, gram). A column's rows lie in ``tiles`` tiles.
     """
-    low, high = similarity
-    lead = F.col("n") - F.ceil(low * F.col("n") / high) + 1
-    short = F.col("n") - F.ceil(2 * low * F.col("n") / (low + high)) + 1
-    return (
-        matrix.withColumn("lead", F.greatest(lead - F.col("u"), F.lit(0)).cast("int"))
-        .withColumn("short", F.greatest(short - F.col("u"), F.lit(0)).cast("int"))
-        .where("lead > 0")
-        .select("r", "n", "u", "short", F.posexplode(F.slice("grams", F.lit(1), F.col("lead"))).alias("at", "gram"))
-        .select("gram", "r", "n", "u", (F.col("u") + F.col("at")).alias("place"), (F.col("at") < F.col("short")).alias("small"))
+    last = {name: F.when(F.col(name) > 0, F.get("heads", F.col(name) - 1)).alias(f"last{name}") for name in ("lead", "short")}
+    entries = matrix.where("lead > 0").select(
+        "r", "n", "u", "lead", "short", *last.values(), F.posexplode("heads").alias("at", "head")
+    )
+    tiles = F.floor(F.col("head.df") / TILE_ROWS) + 1
+    return entries.select(
+        F.col("head.gram").alias("gram"), tiles.alias("tiles"), F.pmod(F.xxhash64(F.lit("tile"), "r"), tiles).alias("tile"),
+        "r", "n", "u", "at", "lead", "short", "lastlead", "lastshort",
     )
 
 
-def _links(matrix: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of rows whose exact count reaches the bound."""
-    one = matrix.select(F.col("r").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
-    two = matrix.select(F.col("r").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    counted = pairs.join(two, "b").join(one, "a").withColumn("overlap", F.size(F.array_intersect("ga", "gb")))
-    return counted.where(_bound("na", "nb", "overlap", similarity)).select("a", "b")
+def _in_all_tiles(frame: DataFrame, name: str = "tile") -> DataFrame:
+    """A row for each tile of its column."""
+    return frame.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
 
 
-def _near(similarity: tuple[int, int]) -> Column:
-    """Sizes, and places of the column, that allow a link.
+def _multiplied(matrix: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of rows whose full count reaches the bound, block after block.
 
-    If the column is the first that two rows share, what both have from there on is all they can
-    share. A pair that links passes at its first shared column, so others may fail.
+    ``pairs``: (a, b, na, nb, seen, cut, lefta, leftb). ``seen`` is what is counted already: nothing
+    (cut 0), or all columns up to the last short one of a (1), or up to the last leading one of b (2).
+    ``lefta`` and ``leftb`` bound what the rows still have.
     """
-    left = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb"))
-    return (similarity[0] * F.greatest("na", "nb") <= similarity[1] * F.least("na", "nb")) & _bound("na", "nb", left, similarity)
+    for k in range(COLUMN_BLOCKS):
+        sides = {
+            "a": F.when(F.col("cut") == 1, F.col("pa")).otherwise(0),
+            "b": F.when(F.col("cut") == 2, F.col("qb")).otherwise(0),
+        }
+        # The side that the last block ended with comes first: pairs are dealt out by it already.
+        for side in ("ab", "ba")[k % 2]:
+            block = matrix.select(F.col("r").alias(side), *(F.col(f"{x}{k}").alias(f"{x}{side}") for x in "gpq"))
+            pairs = pairs.join(block, side)
+        for side, skip in sides.items():
+            whole = F.col(f"g{side}")
+            pairs = pairs.withColumn(f"g{side}", F.when(skip > 0, F.slice(whole, skip + 1, F.size(whole))).otherwise(whole))
+        pairs = pairs.select(
+            "a", "b", "na", "nb", (F.col("seen") + F.size(F.array_intersect("ga", "gb"))).alias("seen"), "cut",
+            (F.col("lefta") - F.size("ga")).alias("lefta"), (F.col("leftb") - F.size("gb")).alias("leftb"),
+        ).where(_bound("na", "nb", F.col("seen") + F.least("lefta", "leftb"), similarity))
+    return pairs.select("a", "b")
 
 
-def _named(entries: DataFrame, side: str) -> DataFrame:
-    return entries.select("gram", *(F.col(c).alias(f"{c}{side}") for c in entries.columns if c != "gram"))
+def _near(similarity: tuple[int, int]) -> Column:
+    """Sizes, and places of a shared column, that allow a link: rows can share no more than what both
+    have before the column, and what both have from there on."""
+    after = F.least(*(F.col(f"n{s}") - F.col(f"u{s}") - F.col(f"at{s}") for s in "ab"))
+    sizes = similarity[0] * F.greatest("na", "nb") <= similarity[1] * F.least("na", "nb")
+    return sizes & _bound("na", "nb", F.least("ata", "atb") + after, similarity)
+
+
+def _named(entries: DataFrame, side: str, *keys: str) -> DataFrame:
+    return entries.select(*(F.col(c) if c in keys else F.col(c).alias(f"{c}{side}") for c in entries.columns))
+
+
+def _left(side: str) -> Column:
+    return (F.col(f"n{side}") - F.col(f"u{side}")).alias(f"left{side}")
 
 
 def _central_pairs(entries: DataFrame, similarity: tuple[int, int], turn: int) -> DataFrame:
     """Rows of a column with one row of it, if they are in different components: first the most
     central one, later another each turn."""
+    slim = entries.select("gram", "tiles", "tile", "r", "n", "u", "at", "c")
     rank = F.col("u") if turn == 0 else F.xxhash64("r", F.lit(turn))
-    central = entries.groupBy("gram").agg(F.min(F.struct(rank.alias("rank"), "r", "n", "c", "place")).alias("m"))
-    central = central.select("gram", *(F.col(f"m.{x}").alias(y) for x, y in (("r", "a"), ("n", "na"), ("c", "ca"), ("place", "placea"))))
-    members = entries.select("gram", F.col("r").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("place").alias("placeb"))
-    return members.join(central, "gram").where(_near(similarity) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
-
-
-def _all_pairs(entries: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Rows that share a leading column across components and can still reach the bound."""
-    one, two = _named(entries, "a"), _named(entries, "b")
+    central = slim.groupBy("gram", "tiles").agg(F.min(F.struct(rank.alias("rank"), "r", "n", "u", "at", "c")).alias("m"))
+    central = _in_all_tiles(central.select("gram", "tiles", *(F.col(f"m.{x}").alias(f"{x}a") for x in ("r", "n", "u", "at", "c"))))
+    met = _named(slim.drop("tiles"), "b", "gram", "tile").join(central.drop("tiles"), ["gram", "tile"])
+    met = met.where(_near(similarity) & (F.col("ca") != F.col("cb")))
+    one = F.lit(0)
+    return met.select(
+        F.col("ra").alias("a"), F.col("rb").alias("b"), "na", "nb", one.alias("seen"), one.alias("cut"), _left("a"), _left("b")
+    ).distinct()
+
+
+def _leading_pairs(entries: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The block of leading columns: tiles of rows multiplied with tiles of rows, counts summed by pair
+    of rows in different components, without pairs that can't reach the bound.
+
+    Counted are the short columns of the smaller row that lead in the larger one. That covers all
+    that both share up to the last short column of the one or the last leading one of the other,
+    whichever is rarer. A partial count that places already rule out is not written: a pair that links
+    has none.
+    """
+    one = _named(_in_all_tiles(entries.where("at < short").drop("lastlead", "lead"), "other"), "a", "gram", "tile", "other")
+    two = _in_all_tiles(entries.drop("lastshort", "short").withColumnRenamed("tile", "other"))
+    two = _named(two, "b", "gram", "tile", "other")
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ra") < F.col("rb")))
-    met = one.where("smalla").join(two, "gram").where(smaller & (F.col("ca") != F.col("cb")) & _near(similarity))
-    return met.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+    met = one.join(two, ["gram", "tile", "other"]).where(smaller & (F.col("ca") != F.col("cb")) & _near(similarity))
+    cut = F.when(F.col("lastshorta") <= F.col("lastleadb"), 1).otherwise(2)
+    counted = met.groupBy(F.col("ra").alias("a"), F.col("rb").alias("b")).agg(
+        F.count("*").cast("int").alias("seen"),
+        *(F.any_value(x).alias(x) for x in ("na", "nb")),
+        F.any_value(cut).alias("cut"),
+        F.any_value(F.col("na") - F.col("ua") - F.when(cut == 1, F.col("shorta")).otherwise(0)).alias("lefta"),
+        F.any_value(F.col("nb") - F.col("ub") - F.when(cut == 2, F.col("leadb")).otherwise(0)).alias("leftb"),
+    )
+    possible = _bound("na", "nb", F.col("seen") + F.least("lefta", "leftb"), similarity)
+    return counted.where(possible).select("a", "b", "na", "nb", "seen", "cut", "lefta", "leftb")
 
 
 def _unfinished(entries: DataFrame) -> DataFrame:
     """Entries of columns whose rows are not one component yet."""
-    open_ = entries.groupBy("gram").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("gram")
-    return entries.join(open_, "gram", "left_semi")
+    open_ = entries.groupBy("gram", "tiles").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y")
+    return entries.join(_in_all_tiles(open_.select("gram", "tiles")).drop("tiles"), ["gram", "tile"], "left_semi")
 
 
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -219,11 +295,11 @@ def ngram_classes(
     rows = stored(rows.mapInArrow(_rows(shingle, bits, similarity, shared), _ROWS), "ngram-rows")
     shared.unpersist()
     matrix = _matrix(rows, similarity)
-    entries = stored(_leading(matrix, similarity), "ngram-leading").withColumn("c", F.col("r"))
+    entries = stored(_leading(matrix), "ngram-leading").withColumn("c", F.col("r"))
     labels = None
     for turn in range(CENTRAL_ROUNDS + 1):
-        pairs = _central_pairs(entries, similarity, turn) if turn < CENTRAL_ROUNDS else _all_pairs(entries, similarity)
-        found = stored(_links(matrix, pairs, similarity), "ngram-links")
+        pairs = _central_pairs(entries, similarity, turn) if turn < CENTRAL_ROUNDS else _leading_pairs(entries, similarity)
+        found = stored(_multiplied(matrix, pairs, similarity), "ngram-links")
         if labels is None or not found.isEmpty():
             # Components so far stand for the links they came from.
             links = found if labels is None else found.union(labels.where("r <> c"))
