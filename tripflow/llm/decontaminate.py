@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.tables import stored
-from tripflow.llm.words import lower_ascii
+from tripflow.llm.words import lower_ascii, row_key
 
 WINDOW = 10
 # Rows of benchmark tokens or windows, each under 1 kB, that are sent to every executor.
@@ -101,7 +101,7 @@ def contamination(
     """
     rows = docs.select(
         F.col(id_column).alias("row_id"), F.col(text_column).cast("string").alias("text"),
-        F.xxhash64(F.col(id_column), F.col(text_column)).alias("row_key"),
+        row_key(id_column, text_column).alias("row_key"),
     )
     owned = stored(item_windows(items, item_column, "text" if "text" in items.columns else text_column, window), "item-windows")
     windows = owned.select("window", "size", "words").dropDuplicates(["window"])

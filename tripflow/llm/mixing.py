@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.tables import stored
+from tripflow.llm.words import row_key
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -104,12 +105,6 @@ def _streamed(sized: DataFrame) -> DataFrame:
     return placed.withColumn("start", F.col("h") + F.col("b") + F.sum(words).over(within) - words).drop("order", "head", "bucket", "h", "b")
 
 
-def row_key(id_column: str, text_column: str) -> Column:
-    """128 bits that rows share only if they have one id and one text."""
-    text = F.coalesce(F.md5(F.col(text_column).cast("string").cast("binary")), F.lit(""))
-    return F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit("/"), text))
-
-
 def mix(
     docs: DataFrame,
     id_column: str = "doc_id",

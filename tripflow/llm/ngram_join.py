@@ -46,7 +46,7 @@ COLUMN_BLOCKS = 4
 # Rows of a column in a tile, on average.
 TILE_ROWS = 256
 
-_ROWS = "row_id long, n long, c1 long, c2 long, grams array<long>"
+_ROWS = "n long, c1 long, c2 long, grams array<long>"
 
 
 def _sets(batch: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -282,17 +282,18 @@ def ngram_classes(
     empty text) it is empty and linked with nothing, and the row is its own class. Rows that repeat
     an id are rows of their own, in one class if their sets are alike or through links. A class is
     named by its smallest id that is not null, by null if it has none. An empty table gives an empty
-    result. Columns besides id and text are not read.
+    result. Columns besides id and text are not read. Ids are long, or strings.
     """
     spark = docs.sparkSession
+    id_type = "string" if dict(docs.dtypes)[id_column] == "string" else "long"
     rows = docs.select(
-        F.col(id_column).cast("long").alias("row_id"),
+        F.col(id_column).cast(id_type).alias("row_id"),
         F.col(text_column).cast("string").alias("text"),
     )
     merged = sketch.merge(rows.select("text").mapInArrow(_sketcher(shingle, bits), sketch.SKETCH_SCHEMA), bits)
     shared = spark.sparkContext.broadcast(merged)
     del merged
-    rows = stored(rows.mapInArrow(_rows(shingle, bits, similarity, shared), _ROWS), "ngram-rows")
+    rows = stored(rows.mapInArrow(_rows(shingle, bits, similarity, shared), f"row_id {id_type}, {_ROWS}"), "ngram-rows")
     shared.unpersist()
     matrix = _matrix(rows, similarity)
     entries = stored(_leading(matrix), "ngram-leading").withColumn("c", F.col("r"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.tables import stored
-from tripflow.llm.words import groups
+from tripflow.llm.words import groups, row_key
 
 KINDS = ("email", "ip", "card", "phone")
 # A pattern is trusted with so many distinct known identifiers and such a share of known ones.
@@ -155,7 +155,7 @@ def _mention_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if text:
                 out += [(key, *x) for x in mentions(text, seeds(text))]
         columns = list(zip(*out, strict=True)) or [()] * 6
-        types = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string())
+        types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string())
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["row_key", "kind", "start", "end", "patterns", "value"]
         )
@@ -205,14 +205,14 @@ def find_pii(
     the leftmost non-overlapping matches of each kind that pass its check. Null and empty texts have
     none. Rows that repeat an id are rows of their own; an identifier that many rows repeat counts
     once for each of its patterns. An empty table gives an empty result. Columns besides id and text are not
-    read. ``row_key`` hashes id and text.
+    read. ``row_key`` is 128 bits of id and text.
     """
     rows = docs.select(
-        F.col(id_column).alias("row_id"), F.xxhash64(F.col(id_column), F.col(text_column)).alias("row_key"),
+        F.col(id_column).alias("row_id"), row_key(id_column, text_column).alias("row_key"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
     )
     id_type = dict(rows.dtypes)["row_id"]
-    places = rows.mapInArrow(_mention_rows, "row_key long, kind string, start int, end int, patterns array<string>, value string")
+    places = rows.mapInArrow(_mention_rows, "row_key string, kind string, start int, end int, patterns array<string>, value string")
     places = stored(places, "pii-mentions")
     edges = stored(places.select(F.explode("patterns").alias("context"), "value", "kind").distinct(), "pii-edges")
     patterns = trusted_patterns(edges, rounds, min_seeds, min_trust)
@@ -221,7 +221,7 @@ def find_pii(
     best = around.join(patterns, "context").groupBy("row_key", "start", "end").agg(F.max(F.struct("trust", "kind")).alias("best"))
     new = best.select("row_key", F.struct(F.col("best.kind").alias("kind"), "start", "end").alias("span"))
     new = new.groupBy("row_key").agg(F.collect_set("span").alias("revealed"))
-    base = rows.mapInArrow(_seed_rows, f"row_id {id_type}, row_key long, base {_SPANS}")
+    base = rows.mapInArrow(_seed_rows, f"row_id {id_type}, row_key string, base {_SPANS}")
     rank = {k: i for i, k in enumerate(KINDS)}
     number = F.create_map(*(F.lit(x) for kv in rank.items() for x in kv))
     both = F.array_sort(
