@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm import decontaminate, mixing, ngram_join, pii, quality_rules
 from tripflow.llm.tables import stored, table
-from tripflow.llm.words import space_words
+from tripflow.llm.words import row_key, space_words
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,7 +26,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Documents with ``row_key``, which tells rows apart whatever their id: equal only for equal id and text."""
-    return docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row_key"))
+    return docs.select(*COLUMNS, row_key("doc_id", "text").alias("row_key"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     readings = taken.select("row_key", "size", "source_size", "target", "taken", "first_slot", F.explode(F.sequence(F.lit(0), last)).alias("reading"))
     words = F.least("size", F.col("taken") - F.col("reading") * F.col("size")).alias("taken")
     readings = readings.select("row_key", "size", "source_size", "target", words, "reading", "first_slot")
-    rows = named.withColumn("row_key", mixing.row_key("mix_id", "text")).drop("mix_id").dropDuplicates(["row_key"])
+    rows = named.withColumn("row_key", row_key("mix_id", "text")).drop("mix_id").dropDuplicates(["row_key"])
     mixed = rows.join(readings, "row_key")
     first = F.array_join(F.slice(space_words(F.col("text")), F.lit(1), F.col("taken").cast("int")), " ")
     mixed = mixed.withColumn("text", F.when(F.col("taken") < F.col("size"), first).otherwise(F.col("text")))
