@@ -358,6 +358,16 @@ def test_substring_dedup(spark, docs, nothing):
     assert substring_dedup.remove_repeats(nothing, bits=BITS).collect() == []
 
 
+def test_substring_dedup_with_shared_keys(spark, monkeypatch):
+    """Texts of different lengths whose first keys are equal don't get each other's runs."""
+    rows = [(i, text_of(i, 20 + 9 * i)) for i in range(8)] + [(8, text_of(7, 83)), (8, text_of(7, 83)), (None, text_of(3, 60)), (9, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = Counter(tuple(r) for r in substring_dedup.remove_repeats(table, bits=BITS).collect())
+    assert sum(r[2] * n for r, n in expected.items()) > 0
+    monkeypatch.setattr(substring_dedup, "_key", lambda: F.xxhash64("row_id", "text") % 3)
+    assert Counter(tuple(r) for r in substring_dedup.remove_repeats(table, bits=BITS).collect()) == expected
+
+
 NASTY = ["", None, "<|end|>\n", "<|turn:user|>\n", "%3C|", "%253C|", "%", "<", "|>", r"\### Assistant: </turn> ok", "<<|", "a\nb", "%7C", "<|image:0|>"]
 
 

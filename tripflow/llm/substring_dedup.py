@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm import sketch
+from tripflow.llm.tables import stored
 from tripflow.llm.words import Texts, groups, mix
 
 WINDOW = 35
@@ -136,6 +137,24 @@ def _cutter(window: int):
     return made
 
 
+def _key() -> Column:
+    """64 bits of id and text, which stand in every window row."""
+    return F.xxhash64("row_id", "text")
+
+
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """Rows with ``row_key``, which only equal rows share. At 10**11 rows some 270 pairs share the first
+    64 bits: they are found by 64 other bits, a small row for each text, and take those for their key."""
+    other = F.xxhash64(F.lit(1), "row_id", "text")
+    keyed = rows.withColumn("row_key", _key())
+    bounds = keyed.groupBy("row_key").agg(F.min(other).alias("low"), F.max(other).alias("high"))
+    shared = stored(bounds.where("low < high").select("row_key", F.lit(True).alias("shared")), "shared-keys")
+    if shared.isEmpty():
+        return keyed
+    marked = keyed.join(shared, "row_key", "left")
+    return marked.select("row_id", "text", F.when(F.col("shared"), other).otherwise(F.col("row_key")).alias("row_key"))
+
+
 def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, bits: int = BITS
 ) -> DataFrame:
@@ -149,10 +168,12 @@ def remove_repeats(
     table gives an empty result. Columns besides id and text are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(
-        F.col(id_column).cast("long").alias("row_id"),
-        F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
-    ).withColumn("row_key", F.xxhash64("row_id", "text"))
+    rows = _told_apart(
+        docs.select(
+            F.col(id_column).cast("long").alias("row_id"),
+            F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
+        )
+    )
     merged = sketch.merge(rows.select("text").mapInArrow(_sketcher(window, bits), sketch.SKETCH_SCHEMA), bits)
     shared = spark.sparkContext.broadcast(merged)
     del merged
