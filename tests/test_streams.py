@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tripflow import schemas, settings
 from tripflow.plans import gold as gold_plan
-from tripflow.sinks.backfill import backfill_silver
-from tripflow.sources.lake import read_silver
+from tripflow.sinks.backfill import backfill_gold, backfill_silver, history_days
+from tripflow.sources.lake import read_gold, read_silver
 from tripflow.sources.topics import land_messages, read_topic
 from tripflow.streaming import bronze, gold, silver
 from tripflow.streaming.run import ProgressLog, await_all
@@ -192,5 +192,31 @@ def test_backfill_shows_on_a_streamed_silver(spark, lake, staging):
     assert backfill_silver(spark, history, root) == 0
 
 
+def test_history_reaches_the_closed_hours_of_gold(spark, lake):
+    lake.publish(*[message(i, f"e{i}", i * 20) for i in range(30)], message(999, "z", 900))
+    lake.run()
+    silver_root, gold_root = f"{lake.root}/silver", f"{lake.root}/gold"
+
+    def fill(event_id, source, minutes):
+        row = read_silver(spark, silver_root).where(F.col("event_id") == source)
+        at = F.lit(START + timedelta(minutes=minutes))
+        history = row.withColumn("event_id", F.lit(event_id)).withColumn("event_time", at).withColumn("event_date", F.to_date(at))
+        # A run that is repeated changes nothing.
+        for added in (1, 0):
+            assert backfill_silver(spark, history, silver_root) == added
+            backfill_gold(spark, history_days(history), silver_root, gold_root)
+        rows = read_gold(spark, gold_root).collect()
+        assert len(rows) == len({(r["city_id"], r["window_start"]) for r in rows})
+        return {(r["window_start"] - START).total_seconds() / 3600: r["completed_trips"] for r in rows}
+
+    assert read_gold(spark, gold_root).count() == 10
+    streamed = {float(h): 3 for h in range(10)}
+    assert fill("old", "e1", 190) == streamed | {3.0: 4}
+    # An hour before all others, one of a day that was filled before, and one that isn't closed yet.
+    assert fill("older", "e1", -90) == streamed | {3.0: 4, -2.0: 1}
+    assert fill("oldest", "e2", 250) == streamed | {3.0: 4, 4.0: 4, -2.0: 1}
+    assert fill("open", "e2", 905) == streamed | {3.0: 4, 4.0: 4, -2.0: 1}
+
+
 def test_there_are_fifteen_topics_with_distinct_entities():
     assert len(settings.TOPICS) == len(settings.ENTITY_OF_TOPIC) == len(set(settings.ENTITY_OF_TOPIC.values())) == 15

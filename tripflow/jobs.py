@@ -25,7 +25,7 @@ from tripflow.operators import audit, embeddings, quality, retrieval
 from tripflow.operators.conform import to_staging
 from tripflow.plans import dimensions, facts, features, gold, models, opendata, store
 from tripflow.session import build_session
-from tripflow.sinks.backfill import backfill_silver
+from tripflow.sinks.backfill import backfill_gold, backfill_silver, history_days
 from tripflow.sinks.buckets import BucketedTable
 from tripflow.sinks.incremental import IncrementalFact
 from tripflow.sinks.report import inventory, readable, write_csv
@@ -186,7 +186,10 @@ def run_staging(spark, args) -> dict:
 
 def run_backfill(spark, args) -> dict:
     history = read_layer(spark, args.input, schemas.STAGING)
-    return {"backfilled": backfill_silver(spark, history, args.silver_root)}
+    added = backfill_silver(spark, history, args.silver_root)
+    if args.gold_root:
+        backfill_gold(spark, history_days(history), args.silver_root, args.gold_root, args.watermark)
+    return {"backfilled": added}
 
 
 def run_models(spark, args) -> dict:
@@ -333,7 +336,9 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--append", action="store_true", help="keep earlier trips, last copy wins")
     one.add_argument("--contract-mode", choices=["enforce", "warn"], default="enforce")
     one = job("staging", run_staging, "silver-root", "warehouse")
-    job("backfill", run_backfill, "input", "silver-root")
+    one = job("backfill", run_backfill, "input", "silver-root")
+    one.add_argument("--gold-root", help="write the hours the history touches again, beside the streamed ones")
+    one.add_argument("--watermark", default=settings.WATERMARK)
     one = job("models", run_models, "warehouse")
     one.add_argument("--lookback-hours", type=float, default=0.0)
     job("features", run_features, "warehouse")

@@ -1234,6 +1234,21 @@ _oracle(
     "stream_quarantine_events", "deliveries",
     """select event_id, event_time, city_id, topic as source_topic from deliveries where city_id is null""",
 )
+_DAY_BEFORE = """select * replace ('day-before-' || event_id as event_id, event_time - interval 1 day as event_time,
+         cast(event_time - interval 1 day as date) as event_date) from usable"""
+_oracle(
+    "backfill_events", "deliveries",
+    f""", usable as (select distinct topic as source_topic, bronze_entity, {STAGING_COLUMNS} from deliveries
+          where city_id is not null)
+        select * from usable union all {_DAY_BEFORE}""",
+)
+_oracle(
+    "backfill_gold_hourly", "deliveries",
+    f""", usable as (select distinct {STAGING_COLUMNS} from deliveries where city_id is not null),
+          filled as (select * from usable union all {_DAY_BEFORE})
+        select * from ({HOURLY} from filled group by 1, 2, 3)
+        where window_end <= (select date_trunc('millisecond', max(event_time)) - interval 30 minute from usable)""",
+)
 # Only hours the watermark has passed: half an hour behind the latest usable event.
 _oracle(
     "stream_gold_hourly", "deliveries",

@@ -21,7 +21,7 @@ from tripflow.session import configure, fresh_dir
 from tripflow.sinks import report
 from tripflow.sinks.incremental import DAY, IncrementalFact
 from tripflow.sources import tables
-from tripflow.sources.warehouse import all_messages, raw_events, staged_events, stream_layers
+from tripflow.sources.warehouse import all_messages, backfilled_layers, raw_events, staged_events, stream_layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -967,3 +967,13 @@ def stream_quarantine_events(spark, sf_dir):
 @query
 def stream_gold_hourly(spark, sf_dir):
     return stream_layers(spark, sf_dir)["gold"]
+
+
+@query
+def backfill_events(spark, sf_dir):
+    return backfilled_layers(spark, sf_dir)["silver"].drop("ingestion_time", "raw_payload")
+
+
+@query
+def backfill_gold_hourly(spark, sf_dir):
+    return backfilled_layers(spark, sf_dir)["gold"]

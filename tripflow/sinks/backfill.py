@@ -1,19 +1,29 @@
-"""History older than the stream's watermark, laid beside the streamed silver events."""
+"""History older than the stream's watermark, laid beside the streamed silver events and hours."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripflow import schemas
 from tripflow.operators.conform import conform
 from tripflow.operators.dedup import keep_last
 from tripflow.operators.validity import valid_rows
+from tripflow.plans.gold import city_hourly
 from tripflow.session import fresh_dir
-from tripflow.sources.lake import BACKFILLED, read_silver
+from tripflow.settings import WATERMARK
+from tripflow.sources.lake import BACKFILLED, BACKFILLED_HOURS, read_backfilled, read_layer, read_silver
 
 PARTITIONS = ["event_date", "city_id"]
 
 
+def history_days(history: DataFrame) -> list[date]:
+    """Days of the usable events, as literals that prune a scan."""
+    days = valid_rows(history).where("event_date is not null").select("event_date").distinct()
+    return sorted(row["event_date"] for row in days.collect())
+
+
 def backfill_silver(spark: SparkSession, history: DataFrame, silver_root: str) -> int:
     """Append the usable events that silver does not hold yet; returns how many.
 
@@ -25,11 +35,45 @@ def backfill_silver(spark: SparkSession, history: DataFrame, silver_root: str) -
     marked = usable.withColumn("_copy", F.xxhash64(*usable.columns))
     latest = keep_last(marked, ["event_id"], ["ingestion_time", "_copy"]).drop("_copy")
     staged_path = fresh_dir(spark, "backfill")
-    days = usable.select("event_date").distinct()
-    known = read_silver(spark, silver_root).join(days, "event_date", "left_semi").select("event_id")
+    covered = F.col("event_date").isin(history_days(history))
+    known = read_silver(spark, silver_root).where(covered).select("event_id")
     latest.join(known, "event_id", "left_anti").write.parquet(staged_path)
     fresh = spark.read.schema(schemas.SILVER).parquet(staged_path)
     fresh.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(
         f"{silver_root}/{BACKFILLED}"
     )
     return fresh.count()
+
+
+def backfill_gold(
+    spark: SparkSession, days: list[date], silver_root: str, gold_root: str, watermark: str = WATERMARK
+) -> None:
+    """Write those city-hours of the days again that hold events filled in later.
+
+    Streamed hours stay as they are; ``read_gold`` lays these over them. What a day gets follows from
+    silver alone, so a run that is repeated, or completes one that died, writes the same rows. Hours
+    that the stream has yet to close are left to it, and need another run afterwards.
+    """
+    covered = F.col("event_date").isin(days)
+    filled = read_backfilled(spark, silver_root)
+    if filled is None or not days:
+        return
+    streamed = read_layer(spark, f"{silver_root}/canonical_events", schemas.SILVER)
+    newest = streamed.agg(F.max("event_date")).first()[0]
+    closed = streamed.where(F.col("event_date") == F.lit(newest)).agg(
+        F.date_trunc("millisecond", F.max("event_time")) - F.expr(f"interval {watermark}")
+    ).first()[0]
+    hour = F.window("event_time", "1 hour")
+    touched = filled.where(covered).select(hour["start"].alias("window_start"), "city_id").distinct()
+    hours = city_hourly(read_silver(spark, silver_root).where(covered))
+    again = hours.join(touched, ["window_start", "city_id"], "left_semi")
+    if closed is not None:
+        again = again.where(F.col("window_end") <= F.lit(closed))
+    (
+        again.select(*schemas.GOLD_HOURLY.names)
+        .hint("rebalance", *PARTITIONS)
+        .write.option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .partitionBy(*PARTITIONS)
+        .parquet(f"{gold_root}/{BACKFILLED_HOURS}")
+    )

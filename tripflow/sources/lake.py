@@ -11,6 +11,7 @@ from tripflow import schemas
 # A streamed folder shows its readers only what its own commit log names, so history that a batch
 # job adds needs a folder of its own.
 BACKFILLED = "backfilled_events"
+BACKFILLED_HOURS = "backfilled_city_hourly_metrics"
 
 
 def stream_bronze(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
@@ -33,16 +34,35 @@ def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
-    """Canonical events of the stream and those filled in later, which lie beside them."""
-    streamed = read_layer(spark, f"{silver_root}/canonical_events", schemas.SILVER)
+def _if_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     try:
-        filled = read_layer(spark, f"{silver_root}/{BACKFILLED}", schemas.SILVER)
+        return read_layer(spark, path, schema)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def read_backfilled(spark: SparkSession, silver_root: str) -> DataFrame | None:
+    """Events that were filled in later, if there are any."""
+    return _if_written(spark, f"{silver_root}/{BACKFILLED}", schemas.SILVER)
+
+
+def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
+    """Canonical events of the stream and those filled in later, which lie beside them."""
+    streamed = read_layer(spark, f"{silver_root}/canonical_events", schemas.SILVER)
+    filled = read_backfilled(spark, silver_root)
+    return streamed if filled is None else streamed.unionByName(filled)
+
+
+def read_gold(spark: SparkSession, gold_root: str) -> DataFrame:
+    """City-hours of the stream; those that history was filled into come from the batch that wrote them again."""
+    streamed = read_layer(spark, f"{gold_root}/city_hourly_metrics", schemas.GOLD_HOURLY)
+    again = _if_written(spark, f"{gold_root}/{BACKFILLED_HOURS}", schemas.GOLD_HOURLY)
+    if again is None:
         return streamed
-    return streamed.unionByName(filled)
+    hours = ["event_date", "city_id", "window_start"]
+    return streamed.join(again.select(*hours), hours, "left_anti").unionByName(again)
 
 
 def read_source_file(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ from tripflow import schemas
 from tripflow.operators.conform import to_staging
 from tripflow.session import configure, fresh_dir
 from tripflow.settings import TOPICS
+from tripflow.sinks.backfill import backfill_gold, backfill_silver, history_days
+from tripflow.sources import lake
 from tripflow.sources.tables import EVENT_TOPICS, canonical_events, event_messages, table
 from tripflow.sources.topics import land_messages, read_topic
 from tripflow.streaming import bronze, gold, silver
@@ -88,8 +90,7 @@ def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three streaming jobs, each run until it has worked off what has arrived."""
-    files = landed_topics(spark, sf_dir)
-    root = _once(spark, sf_dir, "stream", lambda out: _run_streams(spark, files, out))
+    root = _streams_root(spark, sf_dir)
     return {
         "bronze": spark.read.schema(schemas.BRONZE)
         .option("recursiveFileLookup", "true")
@@ -100,6 +101,31 @@ def stream_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def _streams_root(spark: SparkSession, sf_dir: str) -> str:
+    files = landed_topics(spark, sf_dir)
+    return _once(spark, sf_dir, "stream", lambda out: _run_streams(spark, files, out))
+
+
+def backfilled_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver and gold after the streams, with every usable event once more a day earlier as history.
+    The history is loaded twice, of which the second time adds nothing."""
+    root = _streams_root(spark, sf_dir)
+
+    def load(out: str) -> None:
+        silver_root = f"{root}/silver"
+        events = lake.read_layer(spark, f"{silver_root}/canonical_events", schemas.SILVER)
+        earlier = F.col("event_time") - F.expr("interval 1 day")
+        history = events.withColumn("event_id", F.concat(F.lit("day-before-"), "event_id")).withColumn("event_time", earlier)
+        history.withColumn("event_date", F.to_date("event_time")).write.parquet(out)
+        history = lake.read_layer(spark, out, schemas.SILVER)
+        for _ in range(2):
+            backfill_silver(spark, history, silver_root)
+        backfill_gold(spark, history_days(history), silver_root, f"{root}/gold")
+
+    _once(spark, sf_dir, "backfilled", load)
+    return {"silver": lake.read_silver(spark, f"{root}/silver"), "gold": lake.read_gold(spark, f"{root}/gold")}
+
+
 def _run_streams(spark: SparkSession, files: str, root: str) -> None:
     topics = [t for t in TOPICS if t["name"] in EVENT_TOPICS]
     marks = f"{root}/checkpoints"
