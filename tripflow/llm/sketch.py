@@ -114,22 +114,15 @@ def merge(sketches: DataFrame, bits: int) -> list[bytes]:
     return pieces
 
 
-# What this worker unpacked last, and from which pieces: tasks of one job share it.
-_unpacked: list = [None, None]
-
-
 def merged_bits(shared: Broadcast, bits: int) -> np.ndarray:
-    """The bits of a merged sketch that was broadcast."""
-    pieces = shared.value
-    if _unpacked[0] is not pieces:
-        _unpacked[:] = [None, None]
-        size = (ROWS << bits) // RANGES // 8
-        out = np.zeros(size * RANGES, np.uint8)
-        for r, piece in enumerate(pieces):
-            if piece:
-                out[r * size : (r + 1) * size] = np.frombuffer(zstandard.decompress(piece), np.uint8)
-        _unpacked[:] = [pieces, out]
-    return _unpacked[1]
+    """The bits of a merged sketch that was broadcast. A task unpacks them for itself, so that a worker
+    holds them no longer than a task."""
+    size = (ROWS << bits) // RANGES // 8
+    out = np.zeros(size * RANGES, np.uint8)
+    for r, piece in enumerate(shared.value):
+        if piece:
+            out[r * size : (r + 1) * size] = np.frombuffer(zstandard.decompress(piece), np.uint8)
+    return out
 
 
 def repeated(hashes: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:

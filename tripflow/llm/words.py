@@ -122,7 +122,8 @@ class Texts:
 
 
 def groups(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in slices whose texts have GROUP_BYTES at most, or are one row."""
+    """The same rows in slices whose texts have GROUP_BYTES at most, or are one row. At the end freed
+    memory goes back to the system: workers outlive their task, and later stages need it."""
     for batch in batches:
         texts = batch.column(column)
         sizes = np.asarray(pc.binary_length(texts).fill_null(0)).astype(np.int64)
@@ -134,3 +135,5 @@ def groups(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             total += size
         if done < len(sizes):
             yield batch.slice(done)
+        del batch, texts
+    pa.default_memory_pool().release_unused()
