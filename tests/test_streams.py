@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tripflow import schemas, settings
+from tripflow import jobs, schemas, settings
 from tripflow.plans import gold as gold_plan
 from tripflow.sinks.backfill import backfill_gold, backfill_silver, history_days
 from tripflow.sources.lake import read_gold, read_silver
@@ -216,6 +216,14 @@ def test_history_reaches_the_closed_hours_of_gold(spark, lake):
     assert fill("older", "e1", -90) == streamed | {3.0: 4, -2.0: 1}
     assert fill("oldest", "e2", 250) == streamed | {3.0: 4, 4.0: 4, -2.0: 1}
     assert fill("open", "e2", 905) == streamed | {3.0: 4, 4.0: 4, -2.0: 1}
+    # The job, once the hour is closed.
+    lake.publish(message(1000, "zz", 1200))
+    lake.run()
+    silver_rows = read_silver(spark, silver_root).where(F.col("event_id") == "open")
+    silver_rows.write.parquet(f"{lake.root}/history")
+    jobs.main(["backfill", "--input", f"{lake.root}/history", "--silver-root", silver_root, "--gold-root", gold_root], spark)
+    found = {(r["window_start"] - START).total_seconds() / 3600: r["completed_trips"] for r in read_gold(spark, gold_root).collect()}
+    assert found == streamed | {3.0: 4, 4.0: 4, -2.0: 1, 15.0: 2}
 
 
 def test_there_are_fifteen_topics_with_distinct_entities():
