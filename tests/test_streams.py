@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripflow import jobs, schemas, settings
+from tripflow.operators.validity import quarantined_rows, valid_rows
 from tripflow.plans import gold as gold_plan
+from tripflow.plans.silver import to_canonical, with_keys
+from tripflow.session import temporarily
 from tripflow.sinks.backfill import backfill_gold, backfill_silver, history_days
 from tripflow.sources.lake import read_gold, read_silver
 from tripflow.sources.topics import land_messages, read_topic
@@ -192,6 +195,23 @@ def test_backfill_shows_on_a_streamed_silver(spark, lake, staging):
     assert backfill_silver(spark, history, root) == 0
 
 
+def test_a_message_is_parsed_once_for_validity_and_moves_as_text(spark, lake):
+    texts = ['{"event_id": "a", "event_time": "2024-01-01T00:00:00Z", "city_id": "NYC"}', '{"event_id": "b"}', "[1]", "x", "", None]
+    rows = [("t", 0, i, START, 0, "k", text, START, "e") for i, text in enumerate(texts)]
+    keyed = with_keys(spark.createDataFrame(rows, schemas.BRONZE))
+    for split in (valid_rows, quarantined_rows):
+        plan = split(keyed)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+    assert [r["offset"] for r in valid_rows(keyed).collect()] == [0]
+    assert sorted(r["offset"] for r in quarantined_rows(keyed).collect()) == [1, 2, 3, 4, 5]
+    both = [sorted(map(str, to_canonical(frame).collect())) for frame in (keyed, spark.createDataFrame(rows, schemas.BRONZE))]
+    assert both[0] == both[1]
+    started = lake.spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with temporarily(spark, spark__sql__maxConcurrentOutputFileWriters=3):
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "3"
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == started
+
+
 def test_history_reaches_the_closed_hours_of_gold(spark, lake):
     lake.publish(*[message(i, f"e{i}", i * 20) for i in range(30)], message(999, "z", 900))
     lake.run()

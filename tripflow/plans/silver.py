@@ -47,6 +47,19 @@ def with_payload(bronze: DataFrame, fields: list[str] = PAYLOAD_FIELDS) -> DataF
     return bronze.withColumn("payload", F.from_json("value", parsed))
 
 
+def with_keys(bronze: DataFrame) -> DataFrame:
+    """Envelope, and beside it what validity, deduplication and layout need of the text.
+
+    The fields come out of a generator, because a filter on them would otherwise be moved below the
+    parser, which would then run once more for each condition. The other fields are best parsed
+    after the rows have moved: the text is smaller than the columns made of it.
+    """
+    parsed = StructType([StructField(name, StringType()) for name in ("event_id", "event_time", "city_id")])
+    keyed = bronze.select("*", F.inline(F.array(F.from_json("value", parsed))))
+    keyed = keyed.withColumn("event_time", coerce.to_time(F.col("event_time")))
+    return keyed.withColumn("event_date", F.to_date("event_time"))
+
+
 def _field(name: str) -> Column:
     return F.col("payload")[name]
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +45,23 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
     return spark
 
 
+@contextmanager
+def temporarily(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """Settings for what starts in the block; keys use ``__`` where Spark uses a dot."""
+    wanted = {key.replace("__", "."): str(value) for key, value in settings.items()}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 _local_dirs: dict[str, str] = {}
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripflow import schemas
+from tripflow.session import temporarily
+from tripflow.settings import TOPICS
 
 DEFAULT_KAFKA = {
     "bootstrap_servers": "kafka:9092",
@@ -27,8 +29,10 @@ def _topic_folder(files: str, topic: str) -> str:
 
 
 def land_messages(messages: DataFrame, files: str) -> None:
-    """Messages as files, a folder per topic, for places without a broker."""
-    messages.write.mode("overwrite").partitionBy("topic").parquet(files)
+    """Messages as files, a folder per topic, for places without a broker. A task writes its topics
+    side by side, without sorting the messages."""
+    with temporarily(messages.sparkSession, spark__sql__maxConcurrentOutputFileWriters=len(TOPICS)):
+        messages.write.mode("overwrite").partitionBy("topic").parquet(files)
 
 
 def stream_topic(

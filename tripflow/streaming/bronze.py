@@ -21,6 +21,7 @@ def start_topic(
         checkpoint=f"{checkpoint_root}/{entity}",
         partition_by=["ingest_date"],
         bounded=bounded,
+        open_files=2,
     )
 
 

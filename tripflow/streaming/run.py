@@ -7,11 +7,18 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripflow.session import temporarily
 
-def gathered(frame: DataFrame, partition_by: list[str], files: int, by: str) -> DataFrame:
+
+def gathered(
+    frame: DataFrame, partition_by: list[str], files: int, by: str, tasks: int | None = None
+) -> DataFrame:
     """Rows of a micro-batch laid out so that a partition gets at most ``files`` files, not one
-    from every task. ``by`` spreads a partition that holds much of the batch."""
+    from every task. ``by`` spreads a partition that holds much of the batch. A task sorts its rows by
+    partition, so more ``tasks`` than state partitions keep the sort of a large batch in memory."""
     lane = F.pmod(F.xxhash64(by), F.lit(files))
+    if tasks:
+        return frame.repartition(tasks, *partition_by, lane)
     return frame.repartition(*partition_by, lane)
 
 
@@ -23,10 +30,12 @@ def append_parquet(
     partition_by: list[str] | None = None,
     bounded: bool = False,
     state_partitions: int | None = None,
+    open_files: int = 0,
 ) -> StreamingQuery:
     """Append-only Parquet sink; ``bounded`` works off what is there now and stops.
 
-    A stream keeps the number of its state partitions for life and has no
+    A task that meets at most ``open_files`` partitions writes them side by side and needn't sort its
+    rows. A stream keeps the number of its state partitions for life and has no
     adaptive execution to merge small ones, so it gets one per core unless told.
     """
     writer = (
@@ -41,13 +50,11 @@ def append_parquet(
     if bounded:
         writer = writer.trigger(availableNow=True)
     spark = frame.sparkSession
-    session_width = spark.conf.get("spark.sql.shuffle.partitions")
     width = state_partitions or spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    try:
+    with temporarily(
+        spark, spark__sql__shuffle__partitions=width, spark__sql__maxConcurrentOutputFileWriters=open_files
+    ):
         return writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", session_width)
 
 
 class ProgressLog:

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.operators.validity import quarantined_rows, valid_rows
-from tripflow.plans.silver import to_canonical
+from tripflow.plans.silver import to_canonical, with_keys
 from tripflow.settings import WATERMARK
 from tripflow.sources.lake import stream_bronze
 from tripflow.streaming.run import append_parquet, gathered
 
 PARTITIONS = ["event_date", "city_id"]
-
+# Tasks that write a micro-batch, per state partition.
+WRITERS = 4
 
 LANE = "_lane"
 
@@ -22,7 +23,7 @@ def message_lane(lanes: int) -> Column:
     return F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(lanes))
 
 
-def usable_events(canonical: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def usable_events(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Filter first, so that an unusable copy cannot displace a usable one; then keep one
     copy per event id. The state of an id ends once the watermark has passed it.
 
@@ -30,8 +31,8 @@ def usable_events(canonical: DataFrame, watermark: str = WATERMARK) -> DataFrame
     fills a stream are spread over as many tasks as there are lanes, and one per lane meets in
     the task of the id.
     """
-    rows = valid_rows(canonical).withWatermark("event_time", watermark)
-    if LANE in canonical.columns:
+    rows = valid_rows(events).withWatermark("event_time", watermark)
+    if LANE in events.columns:
         rows = rows.dropDuplicatesWithinWatermark(["event_id", LANE]).drop(LANE)
     return rows.dropDuplicatesWithinWatermark(["event_id"])
 
@@ -51,12 +52,13 @@ def start(
     busy one spreads over all tasks."""
     bronze = stream_bronze(spark, bronze_root, max_files)
     width = state_partitions or spark.sparkContext.defaultParallelism
-    canonical = to_canonical(bronze)
+    keyed = with_keys(bronze)
     lanes = files_per_partition or width
-    usable = usable_events(to_canonical(bronze, {LANE: message_lane(width)}), watermark)
+    moved = ["topic", "bronze_entity", "ingestion_time", "value", "event_id", "event_time", "event_date", "city_id"]
+    usable = usable_events(keyed.select(*moved, message_lane(width).alias(LANE)), watermark)
     return [
         append_parquet(
-            gathered(usable, PARTITIONS, lanes, "event_id"),
+            to_canonical(gathered(usable, PARTITIONS, lanes, "event_id", WRITERS * width)),
             name="silver_canonical_events",
             path=f"{silver_root}/canonical_events",
             checkpoint=f"{checkpoint_root}/canonical_events",
@@ -65,7 +67,7 @@ def start(
             state_partitions=state_partitions,
         ),
         append_parquet(
-            quarantined_rows(canonical),
+            to_canonical(quarantined_rows(keyed)),
             name="silver_quarantine_events",
             path=f"{silver_root}/quarantine_events",
             checkpoint=f"{checkpoint_root}/quarantine_events",
