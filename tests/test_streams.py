@@ -11,6 +11,7 @@ from tripflow.operators.validity import quarantined_rows, valid_rows
 from tripflow.plans import gold as gold_plan
 from tripflow.plans.silver import to_canonical, with_keys
 from tripflow.session import temporarily
+from tripflow.sinks import backfill
 from tripflow.sinks.backfill import backfill_gold, backfill_silver, history_days
 from tripflow.sources.lake import read_gold, read_silver
 from tripflow.sources.topics import land_messages, read_topic
@@ -195,6 +196,32 @@ def test_backfill_shows_on_a_streamed_silver(spark, lake, staging):
     assert backfill_silver(spark, history, root) == 0
 
 
+def test_backfill_decides_on_keys_which_rows_to_take(spark, lake):
+    """Copies of an id, equal ones too, give its last row; only the places of rows are kept until then."""
+    lake.publish(*[message(i, f"e{i}", i) for i in range(4)])
+    lake.run()
+    root = f"{lake.root}/silver"
+    row = read_silver(spark, root).where("event_id = 'e1'")
+
+    def copy(event_id, fare, at):
+        made = row.withColumn("event_id", F.lit(event_id)).withColumn("fare_total", F.lit(fare))
+        return made.withColumn("ingestion_time", F.lit(at).cast("timestamp"))
+
+    last = copy("new", 3.0, "2024-02-02")
+    history = row.unionByName(copy("new", 1.0, None)).unionByName(last).unionByName(last).unionByName(copy("new", 2.0, "2024-02-01"))
+    kept = []
+    path = backfill.fresh_dir
+    backfill.fresh_dir = lambda *args: kept.append(path(*args)) or kept[-1]
+    try:
+        assert [backfill_silver(spark, history, root) for _ in range(2)] == [1, 0]
+    finally:
+        backfill.fresh_dir = path
+    assert [r["fare_total"] for r in read_silver(spark, root).where("event_id = 'new'").collect()] == [3.0]
+    assert read_silver(spark, root).count() == 5
+    assert sorted(spark.read.parquet(kept[1]).columns) == sorted(spark.read.parquet(kept[3]).columns) == ["_row"]
+    assert [spark.read.parquet(kept[i]).count() for i in (0, 1, 2, 3)] == [5, 1, 5, 0]
+
+
 def test_a_message_is_parsed_once_for_validity_and_moves_as_text(spark, lake):
     texts = ['{"event_id": "a", "event_time": "2024-01-01T00:00:00Z", "city_id": "NYC"}', '{"event_id": "b"}', "[1]", "x", "", None]
     rows = [("t", 0, i, START, 0, "k", text, START, "e") for i, text in enumerate(texts)]

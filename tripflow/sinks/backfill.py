@@ -30,19 +30,30 @@ def backfill_silver(spark: SparkSession, history: DataFrame, silver_root: str) -
     Readers of a streamed folder see only files that its commit log names, so the events go to a
     folder of their own, which ``read_silver`` adds. Only the days the history covers are read back
     for comparison. Of several copies the one ingested last stays.
+
+    The usable rows are staged once, numbered. Which of them to take is decided on their keys alone, so
+    that whole rows are neither sorted by id nor moved for a history that silver holds already.
     """
     usable = conform(valid_rows(history), schemas.SILVER)
-    marked = usable.withColumn("_copy", F.xxhash64(*usable.columns))
-    latest = keep_last(marked, ["event_id"], ["ingestion_time", "_copy"]).drop("_copy")
-    staged_path = fresh_dir(spark, "backfill")
-    covered = F.col("event_date").isin(history_days(history))
-    known = read_silver(spark, silver_root).where(covered).select("event_id")
-    latest.join(known, "event_id", "left_anti").write.parquet(staged_path)
-    fresh = spark.read.schema(schemas.SILVER).parquet(staged_path)
-    fresh.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(
-        f"{silver_root}/{BACKFILLED}"
+    numbered = usable.withColumn("_copy", F.xxhash64(*usable.columns)).withColumn(
+        "_row", F.monotonically_increasing_id()
     )
-    return fresh.count()
+    staged_path, taken_path = fresh_dir(spark, "backfill"), fresh_dir(spark, "backfill-rows")
+    numbered.write.parquet(staged_path)
+    staged = spark.read.schema(numbered.schema).parquet(staged_path)
+    covered = F.col("event_date").isin(history_days(staged))
+    known = read_silver(spark, silver_root).where(covered).select("event_id")
+    keys = staged.select("event_id", "ingestion_time", "_copy", "_row")
+    latest = keep_last(keys, ["event_id"], ["ingestion_time", "_copy", "_row"])
+    latest.join(known, "event_id", "left_anti").select("_row").write.parquet(taken_path)
+    taken = spark.read.schema("_row bigint").parquet(taken_path)
+    count = taken.count()
+    if count:
+        fresh = staged.join(taken, "_row", "left_semi").drop("_copy", "_row")
+        fresh.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(
+            f"{silver_root}/{BACKFILLED}"
+        )
+    return count
 
 
 def backfill_gold(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripflow import schemas
 from tripflow.operators.conform import to_staging
+from tripflow.operators.skew import spread
 from tripflow.session import configure, fresh_dir
 from tripflow.settings import TOPICS
 from tripflow.sinks.backfill import backfill_gold, backfill_silver, history_days
@@ -73,7 +74,7 @@ def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_topics(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the events as topic messages."""
-    events = table(configure(spark), sf_dir, "events")
+    events = spread(table(configure(spark), sf_dir, "events"))
     return _once(
         spark, sf_dir, "topics", lambda out: land_messages(event_messages(events), out)
     )
@@ -111,13 +112,12 @@ def backfilled_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     The history is loaded twice, of which the second time adds nothing."""
     root = _streams_root(spark, sf_dir)
 
-    def load(out: str) -> None:
+    def load(_: str) -> None:
         silver_root = f"{root}/silver"
         events = lake.read_layer(spark, f"{silver_root}/canonical_events", schemas.SILVER)
         earlier = F.col("event_time") - F.expr("interval 1 day")
         history = events.withColumn("event_id", F.concat(F.lit("day-before-"), "event_id")).withColumn("event_time", earlier)
-        history.withColumn("event_date", F.to_date("event_time")).write.parquet(out)
-        history = lake.read_layer(spark, out, schemas.SILVER)
+        history = history.withColumn("event_date", F.to_date("event_time"))
         for _ in range(2):
             backfill_silver(spark, history, silver_root)
         backfill_gold(spark, history_days(history), silver_root, f"{root}/gold")
