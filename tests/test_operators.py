@@ -402,6 +402,21 @@ def brute_force(docs, asked, k):
     return result
 
 
+def test_a_document_sends_one_row_and_texts_of_one_key_add_up(spark):
+    rows = [(1, "a b"), (1, "A c"), (None, "d"), (None, " d"), (2, ""), (3, None), (4, "b b e")]
+    documents = spark.createDataFrame(rows, "id int, text string").repartition(3)
+    made = embeddings.hash_vectors(documents, "id", "text", 16)
+    assert "Generate" not in made._jdf.queryExecution().optimizedPlan().toString()
+    joined = spark.createDataFrame([(1, "a b a c"), (5, "d d"), (2, ""), (4, "b b e")], "id int, text string")
+    wanted = {r["id"]: r["vector"] for r in embeddings.hash_vectors(joined, "id", "text", 16).collect()}
+    found = {r["id"]: r["vector"] for r in made.collect()}
+    assert found == {1: wanted[1], None: wanted[5], 2: [0.0] * 16, 3: [0.0] * 16, 4: wanted[4]}
+    cells = {(r["id"], r["idx"]): r["weight"] for r in embeddings.hashed_cells(documents, "id", "text", 16).collect()}
+    length = sum(w * w for (key, _), w in cells.items() if key == 1) ** 0.5
+    assert [cells.get((1, i), 0) / length for i in range(16)] == found[1]
+    assert {key for key, _ in cells} == {1, None, 4}
+
+
 @pytest.mark.parametrize("block_bytes", [64 * 1024 * 1024, 2000])
 def test_nearest_equals_brute_force(spark, block_bytes):
     rng = np.random.default_rng(3)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tripflow.settings import EMBEDDING_DIM
 
@@ -19,62 +22,129 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), WHITE_SPACE)
 
 
-def _hex_value(digest: Column, place: int) -> Column:
-    """Value of one hex digit, counted from the end."""
-    return F.instr(F.lit("0123456789abcdef"), F.substring(digest, -place, 1)) - 1
-
-
-def _low_bits(digest: Column, dim: int) -> tuple[Column, Column]:
-    """Index and sign: the token's hash modulo the dimension, and the hash's second bit."""
-    if dim & (dim - 1) or not 2 <= dim <= 1 << 20:
-        raise ValueError("dim must be a power of two, between 2 and 2**20")
-    digits = max(1, (dim.bit_length() + 2) // 4)
-    tail = sum((_hex_value(digest, i + 1) * 16**i for i in range(digits)), F.lit(0))
-    sign = F.when(_hex_value(digest, 1).bitwiseAND(2) != 0, -1).otherwise(1)
-    return tail % dim, sign.cast("bigint")
+# A task remembers this many hashed tokens, and adds up this many cells at once.
+TOKENS_KNOWN = 1 << 20
+CELLS_AT_ONCE = 1 << 22
 
 
-def _summed_cells(documents: DataFrame, key: str, text: str, dim: int) -> DataFrame:
-    """Cells per document, with at least one for every document.
+def _cells(documents: DataFrame, key: str, text: str, dim: int) -> DataFrame:
+    """key, idx, weight: the cells of the texts that one Arrow batch holds under a key, as two lists.
 
-    Tokens are summed per cell in the task that reads the document, so a
-    document sends at most ``dim`` small rows however long its text is.
+    A token's index is its hash modulo the dimension, its sign the hash's second bit. Tokens are
+    summed in the task that reads the text, where each is hashed once; a batch sends one row per key.
     """
-    exploded = documents.select(key, F.explode_outer(tokens(F.col(text))).alias("_token"))
-    hashed = exploded.select(
-        key,
-        F.sha2(F.coalesce("_token", F.lit("")).cast("binary"), 256).alias("_digest"),
-        (F.col("_token") != "").alias("_real"),
-    )
-    idx, sign = _low_bits(F.col("_digest"), dim)
-    return (
-        hashed.select(key, idx.alias("idx"), F.when(F.col("_real"), sign).otherwise(0).alias("_sign"))
-        .groupBy(key, "idx")
-        .agg(F.sum("_sign").alias("weight"))
+    if dim & (dim - 1) or not 2 <= dim <= 1 << 20:
+        raise ValueError("dim must be a power of two, between 2 and 2**20")
+    kind = documents.schema[key].dataType
+    schema = T.StructType(
+        [
+            T.StructField(key, kind),
+            T.StructField("idx", T.ArrayType(T.IntegerType())),
+            T.StructField("weight", T.ArrayType(T.LongType())),
+        ]
     )
 
+    def summed(batches: Iterator) -> Iterator:
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        known: dict[bytes, int] = {}
+
+        def low_bits(token: bytes) -> int:
+            if token not in known:
+                if len(known) >= TOKENS_KNOWN:
+                    known.clear()
+                known[token] = int.from_bytes(hashlib.sha256(token).digest()[-4:], "big")
+            return known[token]
+
+        for batch in batches:
+            # Rows of one key stand together, so that a slice of them holds whole keys.
+            keys = batch.column(0).dictionary_encode(null_encoding="encode")
+            groups = keys.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(groups, kind="stable")
+            groups, words = groups[order], batch.column(1).take(pa.array(order))
+            step = max(1, CELLS_AT_ONCE // dim)
+            for start in range(0, len(keys.dictionary), step):
+                stop = min(start + step, len(keys.dictionary))
+                first, last = np.searchsorted(groups, [start, stop])
+                part = words.slice(first, last - first)
+                sizes = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
+                coded = part.flatten().cast(pa.binary()).dictionary_encode()
+                names = coded.dictionary.to_pylist()
+                low = np.fromiter(map(low_bits, names), np.int64, len(names))
+                # An empty token counts nothing.
+                signs = np.where([name == b"" for name in names], 0, np.where(low & 2, -1, 1))
+                tokens_of = coded.indices.to_numpy(zero_copy_only=False)
+                owners = np.repeat(groups[first:last].astype(np.int64) - start, sizes)
+                cells = np.bincount(
+                    owners * dim + (low & (dim - 1))[tokens_of], signs[tokens_of], (stop - start) * dim
+                ).astype(np.int64)
+                filled = np.flatnonzero(cells)
+                ends = np.searchsorted(filled, np.arange(stop - start + 1) * dim).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        keys.dictionary.slice(start, stop - start),
+                        pa.ListArray.from_arrays(ends, pa.array(filled % dim, pa.int32())),
+                        pa.ListArray.from_arrays(ends, pa.array(cells[filled], pa.int64())),
+                    ],
+                    names=[key, "idx", "weight"],
+                )
+
+    return documents.select(key, tokens(F.col(text)).alias("_tokens")).mapInArrow(summed, schema)
+
 
 def hashed_cells(documents: DataFrame, key: str, text: str, dim: int = EMBEDDING_DIM) -> DataFrame:
     """Non-zero cells of each document's vector before scaling: key, idx, weight."""
-    return _summed_cells(documents, key, text, dim).filter(F.col("weight") != 0)
+    listed = _cells(documents, key, text, dim)
+    cells = listed.select(key, F.inline(F.arrays_zip("idx", "weight")))
+    return cells.groupBy(key, "idx").agg(F.sum("weight").alias("weight")).filter(F.col("weight") != 0)
 
 
 def hash_vectors(documents: DataFrame, key: str, text: str, dim: int = EMBEDDING_DIM) -> DataFrame:
     """key, vector of unit length. Texts without a token get zeros."""
-    gathered = _summed_cells(documents, key, text, dim).groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("_cells"),
-        F.sqrt(F.sum(F.col("weight") * F.col("weight")).cast("double")).alias("_norm"),
+    gathered = _cells(documents, key, text, dim).groupBy(key).agg(
+        F.collect_list(F.struct("idx", "weight")).alias("_parts")
     )
-    # A text without a token has only a cell of weight zero, and no length to divide by.
-    length = F.nullif(F.col("_norm"), F.lit(0.0))
-    places = F.sequence(F.lit(0), F.lit(dim - 1))
-    return gathered.select(
-        key,
-        F.transform(
-            places, lambda i: F.coalesce(F.col("_cells")[i].cast("double") / length, F.lit(0.0))
-        ).alias("vector"),
+    schema = T.StructType(
+        [
+            T.StructField(key, documents.schema[key].dataType),
+            T.StructField("vector", T.ArrayType(T.DoubleType())),
+        ]
     )
 
+    def scaled(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        step = max(1, CELLS_AT_ONCE // dim)
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                parts = batch.column(1)
+                lists = parts.flatten()
+                idx, weight = pc.struct_field(lists, 0), pc.struct_field(lists, 1)
+                rows = np.repeat(
+                    np.repeat(np.arange(batch.num_rows), pc.list_value_length(parts).to_numpy()),
+                    pc.list_value_length(idx).to_numpy(),
+                )
+                sums = np.bincount(
+                    rows * dim + idx.flatten().to_numpy(), weight.flatten().to_numpy(), batch.num_rows * dim
+                ).reshape(batch.num_rows, dim)
+                length = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+                # A text without a token has no length to divide by.
+                vectors = np.divide(sums, length, out=np.zeros_like(sums), where=length > 0)
+                ends = np.arange(batch.num_rows + 1, dtype=np.int32) * dim
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(vectors.ravel()))],
+                    names=[key, "vector"],
+                )
+
+    return gathered.mapInArrow(scaled, schema)
+
 
 def document_vectors(
     documents: DataFrame,
