@@ -49,7 +49,9 @@ def backfill_silver(spark: SparkSession, history: DataFrame, silver_root: str) -
     taken = spark.read.schema("_row bigint").parquet(taken_path)
     count = taken.count()
     if count:
-        fresh = staged.join(taken, "_row", "left_semi").drop("_copy", "_row")
+        # Without a row to leave out there is nothing to join.
+        chosen = staged if count == staged.count() else staged.join(taken, "_row", "left_semi")
+        fresh = chosen.drop("_copy", "_row")
         fresh.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(
             f"{silver_root}/{BACKFILLED}"
         )
